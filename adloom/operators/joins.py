@@ -36,6 +36,12 @@ def null_safe_join(
     return out.drop(*[f"_r_{c}" for c in on])
 
 
+def fits_broadcast(table: DataFrame, row_bytes: int) -> bool:
+    """Count ``table`` up to the broadcast limit; rows past the limit are not read."""
+    limit = min(BROADCAST_ROWS, BROADCAST_BYTES // max(row_bytes, 1))
+    return table.limit(limit + 1).count() <= limit
+
+
 def semi_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return null_safe_join(left, right.select(*on), on, "left_semi")
 

@@ -10,14 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adloom.functions.arrays import as_col
-from adloom.operators.joins import null_safe_join
+from adloom.operators.joins import SALTS, fits_broadcast, null_safe_join
 from adloom.operators.metrics import TINY, top_k
 
 MAX_ORDER = 5
 MASKED_SCORE = -1e9
+VECTOR_ROW_BYTES = 4096
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -98,8 +100,10 @@ def target_attention(
     computed from per-entity maxima and sums, so an entity may have any number of items.
     """
     t = targets.select(entity, doubles(target).alias("_t"))
-    cols = [entity, doubles(vector).alias("_v")] + ([F.col(mask).alias("_mask")] if mask else [])
-    joined = null_safe_join(items.select(*cols), t, [entity], "inner")
+    cols = [entity, doubles(vector).alias("_v"), F.pmod(F.xxhash64(vector), F.lit(SALTS)).alias("_salt")]
+    if mask:
+        cols.append(F.col(mask).alias("_mask"))
+    joined = null_safe_join(items.select(*cols), t, [entity], "inner", broadcast=fits_broadcast(t, VECTOR_ROW_BYTES))
     width = F.floor(F.size("_v") / heads).cast("int")
     parts = F.transform(
         F.sequence(F.lit(0), F.lit(heads - 1)),
@@ -113,15 +117,21 @@ def target_attention(
     score = F.col("p.dot") / F.sqrt(F.size("p.v").cast("double")) if use_scale else F.col("p.dot")
     if mask:
         score = F.when(F.col("_mask") == 0, F.lit(MASKED_SCORE)).otherwise(score)
-    scored = scored.select(entity, "p.head", F.col("p.v").alias("_hv"), score.alias("_s"))
-    top = scored.groupBy(entity, "head").agg(F.max("_s").alias("_top"))
-    weighted = null_safe_join(scored, top, [entity, "head"], "inner").withColumn("_w", F.exp(F.col("_s") - F.col("_top")))
+    scored = scored.select(entity, "_salt", "p.head", F.col("p.v").alias("_hv"), score.alias("_s"))
+    # Each salt of an entity is normalised by its own maximum; the parts are rescaled when combined.
+    cell = [entity, "head", "_salt"]
+    top = scored.groupBy(*cell).agg(F.max("_s").alias("_top"))
+    weighted = null_safe_join(scored, top, cell, "inner").withColumn("_w", F.exp(F.col("_s") - F.col("_top")))
     sums = (
-        weighted.select(entity, "head", "_w", F.posexplode("_hv").alias("d", "x"), F.size("_hv").alias("width"))
-        .groupBy(entity, "head", "width", "d")
+        weighted.select(*cell, "_top", "_w", F.posexplode("_hv").alias("d", "x"), F.size("_hv").alias("width"))
+        .groupBy(*cell, "_top", "width", "d")
         .agg(F.sum(F.col("_w") * F.col("x")).alias("_num"), F.sum("_w").alias("_den"))
     )
-    return sums.select(entity, (F.col("head") * F.col("width") + F.col("d")).cast("int").alias("dim"), (F.col("_num") / F.col("_den")).alias("value"))
+    highest = F.max("_top").over(W.partitionBy(entity, "head", "d"))
+    rescaled = sums.withColumn("_f", F.exp(F.col("_top") - highest))
+    return rescaled.groupBy(entity, (F.col("head") * F.col("width") + F.col("d")).cast("int").alias("dim")).agg(
+        (F.sum(F.col("_num") * F.col("_f")) / F.sum(F.col("_den") * F.col("_f"))).alias("value")
+    )
 
 
 def squeeze(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -133,7 +143,7 @@ def squeeze(df: DataFrame, key: str, vector: str) -> DataFrame:
 def embedding_lookup(df: DataFrame, entity: str, ids: str, table: DataFrame, idx: str = "idx", vector: str = "vector") -> DataFrame:
     """(entity, pos, vector) for each id of an id or id-array column; ids without a vector are dropped.
 
-    The table's size decides between broadcast and shuffle at run time.
+    No hint: the table's measured size decides between broadcast and (skew-split) shuffle at run time.
     """
     kind = dict(df.dtypes)[ids]
     long = (
