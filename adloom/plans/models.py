@@ -8,7 +8,7 @@ from typing import Any
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.scalars import hash_probability
 from adloom.operators.joins import fits_broadcast
-from adloom.operators.metrics import evaluate
+from adloom.operators.metrics import curve_metrics, evaluate
 from adloom.plans.submission import positive_class
 
 ESTIMATORS: dict[str, Callable[..., Estimator]] = {
@@ -24,6 +24,21 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
 }
 
 
+class ExactAuc(Evaluator):
+    """Model-selection criterion: the exact AUC of the positive-class probability."""
+
+    def __init__(self, label: str) -> None:
+        super().__init__()
+        self.label = label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.select(self.label, positive_class("probability").alias("_p"))
+        return curve_metrics(scored, self.label, "_p").first()["auc"]
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list[Estimator | Any]:
     """One-hot ids and numeric columns in one vector."""
     hot = [f"{c}__hot" for c in categorical]
@@ -79,7 +94,7 @@ def grid_search(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str
         builder = builder.addGrid(lr.getParam(name), list(values))
     search = TrainValidationSplit(
         estimator=Pipeline(stages=[*feature_stages(categorical, numeric), lr]), estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
+        evaluator=ExactAuc(label),
         trainRatio=train_ratio, seed=seed, parallelism=parallelism,
     )
     return search.fit(df.withColumn(label, F.col(label).cast("double")))

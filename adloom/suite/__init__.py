@@ -1,0 +1,4 @@
+"""Every registered query; importing the package fills the registry."""
+
+from adloom.suite import tables  # noqa: F401
+from adloom.suite.common import ORACLES, QUERIES  # noqa: F401
