@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters stripped from tokens.
+WHITE_SPACE = " \t\n\r\x0b\x0c"
+
 
 def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -49,8 +52,8 @@ def literal_pattern(sep: str) -> str:
 
 
 def drop_blank(tokens: str | Column) -> Column:
-    """Trim every token and drop the empty ones."""
-    return F.filter(F.transform(as_col(tokens), F.trim), lambda t: t != "")
+    """Strip white space from every token and drop the empty ones."""
+    return F.filter(F.transform(as_col(tokens), lambda t: F.btrim(t, F.lit(WHITE_SPACE))), lambda t: t != "")
 
 
 def token_count(text: str | Column, sep: str) -> Column:

@@ -148,7 +148,8 @@ def sequence_stats(df: DataFrame, name: str, sep: str = ",") -> DataFrame:
         F.avg("len").alias("mean_len"), F.stddev_samp("len").alias("std_len"),
     )
     q = interpolated_quantiles(weighted_values(lengths, ["len"]), LENGTH_QUANTILES)
-    return basic.select("*", *[q.select(n).scalar().alias(n) for n in LENGTH_QUANTILES])
+    found = q.select(F.struct(*LENGTH_QUANTILES).alias("q")).scalar()
+    return basic.select("*", found.alias("q")).select(*basic.columns, *[F.col(f"q.{n}").alias(n) for n in LENGTH_QUANTILES])
 
 
 def token_frequency(df: DataFrame, name: str, sep: str = ",") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.operators.ranking import keys_at_ranks
+from adloom.session import materialize
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], kind: str, ids: Sequence[str] = ()) -> DataFrame:
@@ -27,6 +28,7 @@ def interpolated_quantiles(values: DataFrame, quantiles: Mapping[str, float]) ->
 
     No reducer holds a column: only the value buckets around the wanted ranks are ever sorted.
     """
+    values = materialize(values, "values")
     ranks = {}
     for name, q in quantiles.items():
         pos = (F.col("_total") - 1) * F.lit(float(q))

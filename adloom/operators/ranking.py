@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adloom.operators.joins import null_safe_join
-from adloom.session import shuffle_partitions
+from adloom.session import materialize, shuffle_partitions
 
 SAMPLES_PER_BUCKET = 16
 MAX_BUCKETS = 8192
@@ -51,18 +51,22 @@ def bucket_boundaries(df: DataFrame, key_cols: Sequence[str], buckets: int) -> D
 
 
 def with_bucket(
-    df: DataFrame, key_cols: Sequence[str], buckets: int | None = None, name: str = "_bucket"
+    df: DataFrame, key_cols: Sequence[str], buckets: int | None = None, name: str = "_bucket",
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Add the number of boundaries at or below the row's key, found by halving steps."""
     buckets = min(buckets or 2 * shuffle_partitions(df.sparkSession), MAX_BUCKETS)
     steps = [1 << p for p in range(max(buckets - 1, 1).bit_length() - 1, -1, -1)]
-    bounds = bucket_boundaries(df, key_cols, buckets)
+    if bounds is None:
+        bounds = bucket_boundaries(df, key_cols, buckets)
     key = _key(key_cols)
 
+
     def advance(pos: Column, step: Column) -> Column:
         probe = F.get("_bounds", pos + step - 1)
         return pos + F.when(probe <= key, step).otherwise(0)
 
+    # A single expression: the boundaries stay a constant of the plan and never become row data.
     position = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
     return df.select("*", bounds.scalar().alias("_bounds")).select(*df.columns, position.alias(name))
 
@@ -129,7 +133,7 @@ def keys_at_ranks(
     ranks: Mapping[str, Column],
     by: Sequence[str] = (),
     weight: str | Column | None = None,
-    buckets: int = CUTOFF_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per ``by`` group with the key found at each requested 1-based rank (null outside).
 
@@ -139,9 +143,12 @@ def keys_at_ranks(
     broadcast.
     """
     by = list(by)
+    buckets = buckets or min(CUTOFF_BUCKETS, 16 * shuffle_partitions(df.sparkSession))
     mass = F.lit(1).cast("bigint") if weight is None else (F.expr(weight) if isinstance(weight, str) else weight)
     narrow = df.select(*by, *order, mass.alias("_w"))
-    frame = with_bucket(narrow, [*by, *order], buckets, "_cell")
+    # Written once: the two passes below must cut the range at the same keys.
+    bounds = materialize(bucket_boundaries(narrow, [*by, *order], buckets), "bounds")
+    frame = with_bucket(narrow, [*by, *order], buckets, "_cell", bounds)
     upto = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
     cells = (
         frame.groupBy(*by, "_cell")
@@ -155,10 +162,13 @@ def keys_at_ranks(
         .where((F.col("t.r") <= F.col("_upto")) & (F.col("t.r") > F.col("_upto") - F.col("_n")))
         .select(*by, "_cell", F.col("t.n").alias("_name"), (F.col("t.r") - F.col("_upto") + F.col("_n")).alias("_r"))
     )
-    local = null_safe_join(frame, targets.select(*by, "_cell").distinct(), [*by, "_cell"], "left_semi")
+    # One row per group and rank.
+    targets = materialize(targets, "targets")
+    cells_hit = targets.select(*by, "_cell").distinct()
+    local = materialize(null_safe_join(frame, cells_hit, [*by, "_cell"], "left_semi", broadcast=True), "cells")
     ranked = running_totals(local, order, {"_cum": "_w"}, [*by, "_cell"])
     hit = F.col("_r").between(F.col("_cum") - F.col("_w") + 1, F.col("_cum"))
-    found = null_safe_join(ranked, targets, [*by, "_cell"], "inner", extra=hit).select(
+    found = null_safe_join(ranked, targets, [*by, "_cell"], "inner", broadcast=True, extra=hit).select(
         *by, "_name", _key(order).alias("_k")
     )
     groups = found.groupBy(*by) if by else found.groupBy()

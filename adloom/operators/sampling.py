@@ -72,10 +72,9 @@ def _tail_split(
         # One row per stratum; AQE broadcasts it by its measured size.
         joined = null_safe_join(df, cutoffs, by, "left")
     else:
-        joined = df.select(
-            "*",
-            cutoffs.select("test_from").scalar().alias("test_from"),
-            cutoffs.select("valid_from").scalar().alias("valid_from"),
+        both = cutoffs.select(F.struct("test_from", "valid_from").alias("c")).scalar()
+        joined = df.select("*", both.alias("_c")).select(
+            *df.columns, F.col("_c.test_from").alias("test_from"), F.col("_c.valid_from").alias("valid_from")
         )
     return joined.select(*df.columns, label.alias(out))
 

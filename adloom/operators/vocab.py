@@ -17,6 +17,7 @@ from adloom.functions.arrays import drop_blank, split_tokens
 from adloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, anti_join
 from adloom.operators.quantiles import unpivot
 from adloom.operators.ranking import with_rank
+from adloom.session import materialize
 
 # Reserved tokens and the id of the padding token.
 PAD, OOV = "__PAD__", "__OOV__"
@@ -81,7 +82,8 @@ def kept_tokens(
     frequency floor, without the missing-value token."""
     if num_ids is not None:
         by_count = counts.withColumn("_neg", -F.col("cnt"))
-        counts = with_rank(by_count, ["_neg", "token"], ["feature"], "_rk").where(F.col("_rk") <= num_ids).drop("_neg", "_rk")
+        ranked = with_rank(by_count, ["_neg", "token"], ["feature"], "_rk")
+        counts = materialize(ranked.where(F.col("_rk") <= num_ids).drop("_neg", "_rk"), "top")
     return counts.where(
         (F.col("cnt") >= _per_feature(min_freq, 1)) & (F.col("token") != _per_feature(na_value, ""))
     )
@@ -159,8 +161,10 @@ def extend_vocab(vocab: DataFrame, new_tokens: DataFrame, order: Sequence[str] =
 
     New ids start at the old OOV id, in ``order``; OOV always moves to one past the highest id.
     """
+    # Both are read several times below; a written table keeps that from repeating their plans.
+    vocab = materialize(vocab, "vocab")
+    unseen = materialize(anti_join(new_tokens, vocab, ["feature", "token"]), "unseen")
     oov = vocab.where(F.col("token") == OOV).select("feature", F.col("idx").alias("_oov"))
-    unseen = anti_join(new_tokens, vocab, ["feature", "token"])
     fresh = (
         with_rank(unseen, list(order), ["feature"], "_nth")
         .join(oov, "feature")

@@ -269,6 +269,9 @@ def _fit_vocab(
         {s.name: s.splitter for s in with_vocab if s.type == "sequence"} or None,
         [s.name for s in with_vocab if s.lower],
     )
+    if sharers or len({(s.num_ids, s.remap) for s in owners}) > 1:
+        # Several vocabularies come from these counts: count the table once.
+        counts = materialize(counts, "counts")
 
     def build(group: Sequence[FeatureSpec], ids: int | None, remap: bool) -> DataFrame:
         names = [s.name for s in group]

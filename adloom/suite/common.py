@@ -91,6 +91,9 @@ def tokens_sql(text: str, sep: str = " ") -> str:
     return f"(CASE WHEN coalesce({text}, '') = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({text}, '{sep}') END)"
 
 
+# The white space stripped from tokens, as a SQL expression.
+STRIP = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
 # All tokens of all documents with their counts.
 DOC_TOKENS = f"""tok AS (SELECT doc_id, unnest({tokens_sql('text')}) AS token FROM documents),
 cnts AS (SELECT token, count(*) AS cnt FROM tok GROUP BY token)"""

@@ -16,7 +16,7 @@ from adloom.session import scratch_path
 from adloom.sources import readers, writers
 from adloom.spec import expand, labels
 from adloom.suite.common import (
-    CUTS, DOC_TOKENS, IMP, hash_split_sql, hash_unit_sql, impressions, md5_int_sql, md5_sql, query, r6, s6, table,
+    CUTS, DOC_TOKENS, IMP, STRIP, hash_split_sql, hash_unit_sql, impressions, md5_int_sql, md5_sql, query, r6, s6, table,
     tokens_sql,
 )
 
@@ -244,7 +244,7 @@ def _(spark, sf):
     return clean.value_counts(clean.drop_null(ev, "event_type"), "event_type")
 
 
-@query("flt_tokens", f"SELECT doc_id, len(list_filter(list_transform({tokens_sql('text')}, lambda x: trim(x)), lambda x: x <> '')) AS n FROM documents")
+@query("flt_tokens", f"SELECT doc_id, len(list_filter(list_transform({tokens_sql('text')}, lambda x: trim(x, {STRIP})), lambda x: x <> '')) AS n FROM documents")
 def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.size(drop_blank(split_tokens("text", " "))).alias("n"))
 
