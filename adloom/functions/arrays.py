@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters stripped from tokens.
+# Characters with a meaning in patterns, and those stripped from tokens.
+REGEX_SPECIAL = ".$|()[{^?*+\\"
 WHITE_SPACE = " \t\n\r\x0b\x0c"
 
 
@@ -48,6 +49,9 @@ def split_tokens(text: str | Column, sep: str) -> Column:
 
 
 def literal_pattern(sep: str) -> str:
+    """A split pattern for literal text; single characters take the split's non-regex fast path."""
+    if len(sep) == 1:
+        return "\\" + sep if sep in REGEX_SPECIAL else sep
     return "\\Q" + sep + "\\E"
 
 

@@ -61,14 +61,14 @@ def with_bucket(
         bounds = bucket_boundaries(df, key_cols, buckets)
     key = _key(key_cols)
 
-
-    def advance(pos: Column, step: Column) -> Column:
-        probe = F.get("_bounds", pos + step - 1)
-        return pos + F.when(probe <= key, step).otherwise(0)
-
-    # A single expression: the boundaries stay a constant of the plan and never become row data.
-    position = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
-    return df.select("*", bounds.scalar().alias("_bounds")).select(*df.columns, position.alias(name))
+    # One projection per halving step keeps the search in generated code (a lambda would not be). The
+    # boundaries are a constant of the plan, evaluated once; they are never a column of the rows.
+    edges = bounds.scalar()
+    found = df.withColumn(name, F.lit(0))
+    for step in steps:
+        probe = F.get(edges, F.col(name) + (step - 1))
+        found = found.withColumn(name, F.col(name) + F.when(probe <= key, step).otherwise(0))
+    return found
 
 
 def running_totals(

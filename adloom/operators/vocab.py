@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.functions.arrays import drop_blank, split_tokens
+from adloom.functions.arrays import WHITE_SPACE, split_tokens
 from adloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, anti_join
 from adloom.operators.quantiles import unpivot
 from adloom.operators.ranking import with_rank
@@ -57,10 +57,12 @@ def token_counts(
     if sequences:
         arrays = []
         for name, sep in sequences.items():
-            tokens = split_tokens(name, sep)
-            arrays.append(F.struct(F.lit(name).alias("feature"), (drop_blank(tokens) if skip_blank else tokens).alias("tokens")))
+            arrays.append(F.struct(F.lit(name).alias("feature"), split_tokens(name, sep).alias("tokens")))
         one = df.select(F.explode(F.array(*arrays)).alias("s")) if len(arrays) > 1 else df.select(arrays[0].alias("s"))
-        parts.append(one.select("s.feature", F.explode("s.tokens").alias("token")))
+        exploded = one.select("s.feature", F.explode("s.tokens").alias("token"))
+        if skip_blank:
+            exploded = exploded.withColumn("token", F.btrim("token", F.lit(WHITE_SPACE))).where("token <> ''")
+        parts.append(exploded)
     long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if lower:
         long = long.withColumn("token", F.when(F.col("feature").isin(*lower), F.lower("token")).otherwise(F.col("token")))

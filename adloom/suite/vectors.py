@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adloom.operators import vectors as vec
 from adloom.operators.sampling import hash_split
 from adloom.plans import models, submission
-from adloom.session import scratch_path
+from adloom.session import materialize, scratch_path
 from adloom.streaming import jobs
 from adloom.suite.common import (
     CUTS, IMP, hash_split_sql, impressions, md5_int_sql, query, r6, s6, table,
@@ -269,7 +269,8 @@ def _trained(spark, sf, kind, **params):
     """Encoded impressions, label = purchase of a high value, so that there is something to learn."""
     sp, fitted = fit_table(spark, sf)
     y = (F.col("value") > 0.2).cast("double")
-    coded = fitted.transform(sp, keep=["id", "split", "user_id"]).withColumn("clicked", y).persist()
+    coded = fitted.transform(sp, keep=["id", "split", "user_id"]).withColumn("clicked", y)
+    coded = materialize(coded, "coded")
     model = models.fit_model(coded.where("split = 'train'"), kind, ["hour", "dow"], ["value", "k"], "clicked", **params)
     return coded, model
 
