@@ -13,6 +13,10 @@ from adloom.operators.joins import lookup_join
 from adloom.operators.vocab import OOV, PAD_IDX, VocabStats
 from adloom.session import materialize
 
+# Vocabularies up to this size travel inside the plan (each task unpacks them); larger ones are joined.
+INLINE_TOKENS = 100_000
+INLINE_BYTES = 8 << 20
+
 
 def encode_category(
     df: DataFrame, column: str, vocab: DataFrame, stats: VocabStats, feature: str | None = None,
@@ -42,11 +46,12 @@ def encode_tokens(
 ) -> DataFrame:
     """Array of tokens → array of ids, same order; the missing-value token is padding, others OOV.
 
-    A vocabulary that fits is addressed inside each row, without a shuffle. A larger one is joined:
-    rows are exploded, looked up with hot tokens salted, and collected again by row id.
+    A vocabulary of moderate size is addressed inside each row, without a shuffle. A larger one is
+    joined: rows are exploded, looked up (broadcast while it fits, else with hot tokens salted), and
+    collected again by row id.
     """
     oov = F.lit(stats.oov_idx).cast("bigint")
-    if stats.small:
+    if stats.tokens <= INLINE_TOKENS and stats.bytes <= INLINE_BYTES:
         slots = 1 << max(stats.tokens - 1, 1).bit_length()
 
         def look_up(t: Column) -> Column:
@@ -61,8 +66,12 @@ def encode_tokens(
         # Written out once, so a retried task cannot number the rows differently.
         id_col = "_rid"
         keyed = materialize(df.withColumn(id_col, F.monotonically_increasing_id()), "rows")
-    parts = keyed.select(id_col, F.posexplode(tokens).alias("_pos", "_tok")).withColumn("_tok", F.nullif("_tok", F.lit(na_value)))
-    coded = lookup_join(parts, "_tok", vocab, "token", "idx", "_idx", oov, False, stats.hot)
+    narrow = keyed.select(id_col, tokens)
+    if stats.small:
+        # Whole sequences move once; exploding, looking up and collecting then stay in place.
+        narrow = narrow.repartition(id_col)
+    parts = narrow.select(id_col, F.posexplode(tokens).alias("_pos", "_tok")).withColumn("_tok", F.nullif("_tok", F.lit(na_value)))
+    coded = lookup_join(parts, "_tok", vocab, "token", "idx", "_idx", oov, stats.small, stats.hot)
     coded = coded.withColumn("_idx", F.when(F.col("_tok").isNull(), F.lit(PAD_IDX).cast("bigint")).otherwise(F.col("_idx")))
     lists = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_idx"))).alias("_l"))
     empty = F.array().cast("array<bigint>")

@@ -240,21 +240,30 @@ def evaluate(
         raise ValueError("MRR and NDCG need a tie-breaking id column")
     if not metrics:
         raise ValueError("no metric asked for")
-    group_auc = _group_auc_summary(df, group, label, score) if set(metrics) & set(_GROUP_AUC) else None
+    place = {m: i for i, m in enumerate(metrics)}
+
+    def rows(table: DataFrame, columns: dict[str, str]) -> DataFrame:
+        """One output row per metric from a one-row table."""
+        cells = [
+            F.struct(F.lit(place[m]).alias("position"), F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
+            for m, c in columns.items()
+        ]
+        return table.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
     parts = []
-    for i, m in enumerate(metrics):
-        if m in _LOSS_NAMES:
-            one = log_loss(df, label, score).select(F.col("logloss").alias("value"))
-        elif m == "AUC":
-            one = auc(df, label, score).select(F.col("auc").alias("value"))
-        elif m in _GROUP_AUC:
-            one = group_auc.select(F.col(m).alias("value"))
-        elif m == "MRR":
-            one = mrr(df, group, label, score, tie).select(F.col("mrr").alias("value"))
-        else:
-            k = int(_NDCG.fullmatch(m).group(1))
-            one = ndcg(df, group, label, score, tie, k).select(F.col("ndcg").alias("value"))
-        parts.append(one.select(F.lit(i).alias("position"), F.lit(m).alias("metric"), F.col("value").cast("double")))
+    losses = [m for m in place if m in _LOSS_NAMES]
+    if losses:
+        parts.append(rows(log_loss(df, label, score), dict.fromkeys(losses, "logloss")))
+    if "AUC" in place:
+        parts.append(rows(auc(df, label, score), {"AUC": "auc"}))
+    group_aucs = [m for m in place if m in _GROUP_AUC]
+    if group_aucs:
+        parts.append(rows(_group_auc_summary(df, group, label, score), {m: m for m in group_aucs}))
+    if "MRR" in place:
+        parts.append(rows(mrr(df, group, label, score, tie), {"MRR": "mrr"}))
+    for m in place:
+        if _NDCG.fullmatch(m):
+            parts.append(rows(ndcg(df, group, label, score, tie, int(_NDCG.fullmatch(m).group(1))), {m: "ndcg"}))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -13,6 +13,8 @@ from adloom.operators.clean import is_missing, value_counts
 from adloom.operators.quantiles import interpolated_quantiles, unpivot, weighted_values
 from adloom.operators.vocab import feature_table
 
+# Column pairs up to which a correlation matrix is one wide aggregate.
+WIDE_PAIRS = 60
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 LENGTH_QUANTILES = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 
@@ -124,8 +126,16 @@ def safe_corr(a: str, b: str) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, corr) for every ordered pair of columns, from one aggregate over the table."""
+    """(a, b, corr) for every ordered pair of columns, from one pass over the table."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    if len(pairs) > WIDE_PAIRS:
+        # Too many aggregates for one generated method: the row's pairs become rows, combined map-side.
+        cells = F.array(*[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+            for a, b in pairs
+        ])
+        half = df.select(F.explode(cells).alias("p")).select("p.*").groupBy("a", "b").agg(safe_corr("x", "y").alias("corr"))
+        return half.unionByName(half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
     agg = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     entries = []
     for a, b in pairs:

@@ -5,7 +5,7 @@ depends on its key and the boundaries only, so losing an executor and recomputin
 bucket again and no lineage cut is needed. Bucket totals (one row per bucket after map-side
 combining) give each bucket its starting offset; the window then runs inside a bucket.
 
-All orders are ascending over non-null, unique keys: negate a number for descending order, and
+All orders are ascending over unique keys: negate a number for descending order, and
 aggregate duplicates into a weight first. Balance comes from the sample; results are exact with any
 boundaries.
 """
@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adloom.operators.joins import null_safe_join
+from adloom.operators.joins import fits_broadcast, null_safe_join
 from adloom.session import materialize, shuffle_partitions
 
-SAMPLES_PER_BUCKET = 16
+SAMPLES_PER_BUCKET = 8
 MAX_BUCKETS = 8192
 CUTOFF_BUCKETS = 1024
 
@@ -30,17 +30,25 @@ def _key(cols: Sequence[str]) -> Column:
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
-def bucket_boundaries(df: DataFrame, key_cols: Sequence[str], buckets: int) -> DataFrame:
+def bucket_boundaries(
+    df: DataFrame, key_cols: Sequence[str], buckets: int, also: Sequence[str] = ()
+) -> DataFrame:
     """One row, one array of at most ``buckets - 1`` ascending keys cutting the range evenly.
 
-    The sample is the keys with the smallest hashes: each task keeps a bounded heap of
-    ``buckets * SAMPLES_PER_BUCKET`` keys, which is also all that is ever brought together.
+    The sample is the rows with the smallest hashes. An approximate row count first thins the table
+    to about four times the sample, so the part that is brought together does not grow with the
+    table. ``also`` names columns the main pass reads anyway: hashing them too keeps this pass on the
+    same shuffle.
     """
-    key = _key(key_cols)
+    wanted = buckets * SAMPLES_PER_BUCKET
+    rows = df.select(_key(key_cols).alias("k"), F.xxhash64(*dict.fromkeys([*key_cols, *also])).alias("h"))
+    estimate = rows.agg(F.approx_count_distinct("h")).scalar()
+    # The top 30 bits of the hash, as a number in [0, 1).
+    unit = F.shiftrightunsigned("h", 34).cast("double") / F.lit(float(1 << 30))
     sample = (
-        df.select(key.alias("k"))
-        .orderBy(F.xxhash64("k"))
-        .limit(buckets * SAMPLES_PER_BUCKET)
+        rows.where(unit * estimate < F.lit(float(4 * wanted)))
+        .orderBy("h")
+        .limit(wanted)
         .agg(F.array_sort(F.collect_list("k")).alias("s"))
     )
     cut = F.transform(
@@ -52,13 +60,13 @@ def bucket_boundaries(df: DataFrame, key_cols: Sequence[str], buckets: int) -> D
 
 def with_bucket(
     df: DataFrame, key_cols: Sequence[str], buckets: int | None = None, name: str = "_bucket",
-    bounds: DataFrame | None = None,
+    bounds: DataFrame | None = None, also: Sequence[str] = (),
 ) -> DataFrame:
     """Add the number of boundaries at or below the row's key, found by halving steps."""
-    buckets = min(buckets or 2 * shuffle_partitions(df.sparkSession), MAX_BUCKETS)
+    buckets = min(buckets or 4 * shuffle_partitions(df.sparkSession), MAX_BUCKETS)
     steps = [1 << p for p in range(max(buckets - 1, 1).bit_length() - 1, -1, -1)]
     if bounds is None:
-        bounds = bucket_boundaries(df, key_cols, buckets)
+        bounds = bucket_boundaries(df, key_cols, buckets, also)
     key = _key(key_cols)
 
     # One projection per halving step keeps the search in generated code (a lambda would not be). The
@@ -77,6 +85,7 @@ def running_totals(
     totals: Mapping[str, str | Column],
     by: Sequence[str] = (),
     buckets: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` in ``order`` within each ``by`` group.
 
@@ -85,7 +94,8 @@ def running_totals(
     than there are buckets.
     """
     by = list(by)
-    frame = with_bucket(df, [*by, *order], buckets)
+    summed = [v for v in totals.values() if isinstance(v, str) and v in df.columns]
+    frame = with_bucket(df, [*by, *order], buckets, also=[*summed, *also])
     names = list(totals)
     exprs = [F.expr(v) if isinstance(v, str) else v for v in totals.values()]
     cells = frame.groupBy(*by, "_bucket").agg(*[F.sum(e).alias(n) for n, e in zip(names, exprs)])
@@ -117,9 +127,14 @@ def with_rank(
     by: Sequence[str] = (),
     name: str = "rank",
     buckets: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact 1-based position of each row in ``order`` within its ``by`` group."""
-    return running_totals(df, order, {name: F.lit(1).cast("bigint")}, by, buckets)
+    """Exact 1-based position of each row in ``order`` within its ``by`` group.
+
+    Over an aggregated table pass an aggregate column as ``also``: all passes then share its shuffle
+    (see :func:`bucket_boundaries`).
+    """
+    return running_totals(df, order, {name: F.lit(1).cast("bigint")}, by, buckets, also)
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx") -> DataFrame:
@@ -139,8 +154,6 @@ def keys_at_ranks(
 
     ``ranks`` maps an output name to an expression over ``_total``, the group's total weight. Only
     the buckets that hold a wanted rank are ever sorted; the rest of the table is counted map-side.
-    The number of groups must be small (strata, columns), which is what makes the result a table to
-    broadcast.
     """
     by = list(by)
     buckets = buckets or min(CUTOFF_BUCKETS, 16 * shuffle_partitions(df.sparkSession))
@@ -164,11 +177,12 @@ def keys_at_ranks(
     )
     # One row per group and rank.
     targets = materialize(targets, "targets")
+    small = fits_broadcast(targets, 256)
     cells_hit = targets.select(*by, "_cell").distinct()
-    local = materialize(null_safe_join(frame, cells_hit, [*by, "_cell"], "left_semi", broadcast=True), "cells")
+    local = materialize(null_safe_join(frame, cells_hit, [*by, "_cell"], "left_semi", broadcast=small), "cells")
     ranked = running_totals(local, order, {"_cum": "_w"}, [*by, "_cell"])
     hit = F.col("_r").between(F.col("_cum") - F.col("_w") + 1, F.col("_cum"))
-    found = null_safe_join(ranked, targets, [*by, "_cell"], "inner", broadcast=True, extra=hit).select(
+    found = null_safe_join(ranked, targets, [*by, "_cell"], "inner", broadcast=small, extra=hit).select(
         *by, "_name", _key(order).alias("_k")
     )
     groups = found.groupBy(*by) if by else found.groupBy()

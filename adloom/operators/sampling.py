@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.scalars import hash_unit, md5_key
-from adloom.operators.joins import null_safe_join
+from adloom.operators.joins import fits_broadcast, null_safe_join
 from adloom.operators.ranking import keys_at_ranks
+from adloom.session import materialize
 
 # Up to this many rows an exact sample is one bounded heap per task; above it, a cutoff filter.
 HEAP_ROWS = 100_000
@@ -69,8 +70,9 @@ def _tail_split(
         F.when(key >= F.col("test_from"), "test").when(key >= F.col("valid_from"), "valid").otherwise("train")
     )
     if by:
-        # One row per stratum; AQE broadcasts it by its measured size.
-        joined = null_safe_join(df, cutoffs, by, "left")
+        # One row per stratum.
+        cutoffs = materialize(cutoffs, "cutoffs")
+        joined = null_safe_join(df, cutoffs, by, "left", broadcast=fits_broadcast(cutoffs, 256))
     else:
         both = cutoffs.select(F.struct("test_from", "valid_from").alias("c")).scalar()
         joined = df.select("*", both.alias("_c")).select(

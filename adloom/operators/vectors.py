@@ -143,7 +143,7 @@ def squeeze(df: DataFrame, key: str, vector: str) -> DataFrame:
 def embedding_lookup(df: DataFrame, entity: str, ids: str, table: DataFrame, idx: str = "idx", vector: str = "vector") -> DataFrame:
     """(entity, pos, vector) for each id of an id or id-array column; ids without a vector are dropped.
 
-    No hint: the table's measured size decides between broadcast and (skew-split) shuffle at run time.
+    A table that was counted and fits is broadcast; a larger one is shuffled with skewed parts split.
     """
     kind = dict(df.dtypes)[ids]
     long = (
@@ -151,6 +151,8 @@ def embedding_lookup(df: DataFrame, entity: str, ids: str, table: DataFrame, idx
         if kind.startswith("array") else df.select(entity, F.lit(0).alias("pos"), F.col(ids).alias("_id"))
     )
     vectors = table.select(F.col(idx).alias("_idx"), doubles(vector).alias("vector"))
+    if fits_broadcast(vectors, VECTOR_ROW_BYTES):
+        vectors = F.broadcast(vectors)
     return long.join(vectors, F.col("_id") == F.col("_idx")).select(entity, "pos", "vector")
 
 

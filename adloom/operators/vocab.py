@@ -84,14 +84,15 @@ def kept_tokens(
     frequency floor, without the missing-value token."""
     if num_ids is not None:
         by_count = counts.withColumn("_neg", -F.col("cnt"))
-        ranked = with_rank(by_count, ["_neg", "token"], ["feature"], "_rk")
+        ranked = with_rank(by_count, ["_neg", "token"], ["feature"], "_rk", also=["cnt"])
         counts = materialize(ranked.where(F.col("_rk") <= num_ids).drop("_neg", "_rk"), "top")
     return counts.where(
         (F.col("cnt") >= _per_feature(min_freq, 1)) & (F.col("token") != _per_feature(na_value, ""))
     )
 
 
-def _with_reserved(tokens: DataFrame, last_idx: DataFrame, features: Sequence[str]) -> DataFrame:
+def with_reserved(tokens: DataFrame, last_idx: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Add the padding and out-of-vocabulary rows; ``last_idx`` is (feature, last), the highest id so far."""
     spark = tokens.sparkSession
     reserved = (
         feature_table(spark, features)
@@ -122,9 +123,9 @@ def build_vocab(
     kept = kept_tokens(counts, min_freq, na_value, num_ids)
     if remap:
         last = kept.groupBy("feature").agg(F.count(F.lit(1)).alias("last"))
-        return _with_reserved(with_rank(kept, ["token"], ["feature"], "idx"), last, features)
+        return with_reserved(with_rank(kept, ["token"], ["feature"], "idx", also=["cnt"]), last, features)
     own = kept.withColumn("idx", F.col("token").cast("bigint"))
-    return _with_reserved(own, own.groupBy("feature").agg(F.max("idx").alias("last")), features)
+    return with_reserved(own, own.groupBy("feature").agg(F.max("idx").alias("last")), features)
 
 
 def class_labels(counts: DataFrame, always: Sequence[str] = (), features: Sequence[str] = ()) -> DataFrame:
@@ -134,7 +135,7 @@ def class_labels(counts: DataFrame, always: Sequence[str] = (), features: Sequen
             "feature", F.explode(F.array(*[F.lit(a) for a in always])).alias("token"), F.lit(0).cast("bigint").alias("cnt")
         )
         counts = counts.unionByName(fixed).groupBy("feature", "token").agg(F.sum("cnt").alias("cnt"))
-    return with_rank(counts, ["token"], ["feature"], "idx").withColumn("idx", F.col("idx") - 1)
+    return with_rank(counts, ["token"], ["feature"], "idx", also=["cnt"]).withColumn("idx", F.col("idx") - 1)
 
 
 def offset_vocab(counts: DataFrame, features: Sequence[str], capacity: int | None = None) -> DataFrame:
@@ -143,7 +144,7 @@ def offset_vocab(counts: DataFrame, features: Sequence[str], capacity: int | Non
     ``capacity`` bounds the size including the two reserved ids, keeping the most frequent tokens.
     """
     kept = kept_tokens(counts, num_ids=None if capacity is None else capacity - 2)
-    tokens = with_rank(kept, ["token"], ["feature"], "idx").withColumn("idx", F.col("idx") + 1)
+    tokens = with_rank(kept, ["token"], ["feature"], "idx", also=["cnt"]).withColumn("idx", F.col("idx") + 1)
     reserved = feature_table(counts.sparkSession, features).select(
         "feature",
         F.explode(

@@ -44,9 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/adloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; never reused, so retries cannot mix two runs."""
-    return f"{shared_dir(spark)}/adloom/{label}-{uuid.uuid4().hex}"
+    """A new path in the session's folder; never reused, so retries cannot mix two runs."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application wrote for itself; call it when their results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

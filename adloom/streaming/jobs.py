@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from adloom.operators.joins import anti_join
 from adloom.operators.metrics import evaluate
-from adloom.operators.vocab import build_vocab, extend_vocab
+from adloom.operators.ranking import with_rank
+from adloom.operators.vocab import with_reserved
 from adloom.plans.encoder import FittedEncoder
 
 
@@ -42,34 +44,42 @@ def count_stream(stream: DataFrame, key: str, value: str, out: str, checkpoint:
 
 
 def latest(spark: SparkSession, out: str) -> DataFrame:
-    """Table written by the last batch of a complete-mode or vocabulary sink."""
+    """Table written by the last batch of a sink that keeps one table per batch."""
     df = spark.read.parquet(out)
     last = df.agg(F.max("batch")).first()[0]
     return spark.read.parquet(f"{out}/batch={last}")
 
 
 def vocab_stream(stream: DataFrame, column: str, order: str, out: str, checkpoint: str) -> StreamingQuery:
-    """A vocabulary that grows as batches arrive.
+    """A vocabulary that grows as batches arrive; read it with :func:`growing_vocab`.
 
     The first batch is numbered in token order; tokens new in a later batch follow by their smallest
-    ``order`` value. Batch n reads the table of batch n − 1 and overwrites its own, so a replay of a
-    batch gives the same table.
+    ``order`` value. Each batch appends only its new tokens, as its own folder: a replayed batch sees
+    the folders before it and rewrites the same one.
     """
 
     def grow(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tokens = batch.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("token")).agg(
             F.count(F.lit(1)).alias("cnt"), F.min(order).alias("_o")
-        ).select(F.lit(column).alias("feature"), "token", "cnt", "_o")
-        if batch_id == 0:
-            vocab = build_vocab(tokens.drop("_o"), [column])
-        else:
-            vocab = extend_vocab(spark.read.parquet(f"{out}/batch={batch_id - 1}"), tokens, ["_o", "token"])
-        vocab.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        )
+        last = 0
+        if batch_id > 0:
+            before = spark.read.parquet(out).where(F.col("batch") < batch_id)
+            last = before.agg(F.max("idx")).first()[0] or 0
+            tokens = anti_join(tokens, before, ["token"])
+        fresh = with_rank(tokens, ["token"] if batch_id == 0 else ["_o", "token"], name="idx")
+        fresh.select("token", (F.col("idx") + last).alias("idx"), "cnt").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(grow).start()
 
 
+def growing_vocab(spark: SparkSession, out: str, feature: str) -> DataFrame:
+    """The vocabulary gathered so far, with its reserved ids: (feature, token, idx, cnt)."""
+    tokens = spark.read.parquet(out).select(F.lit(feature).alias("feature"), "token", "idx", "cnt")
+    return with_reserved(tokens, tokens.groupBy("feature").agg(F.max("idx").alias("last")), [feature])
+
+
 def metric_stream(stream: DataFrame, metrics: Sequence[str], label: str, score: str, out: str, checkpoint: str, group: str | None = None, tie: str | None = None) -> StreamingQuery:
     """Metrics of each arriving batch, kept as a history table (batch, metric, value)."""
 

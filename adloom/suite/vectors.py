@@ -345,7 +345,7 @@ def _(spark, sf):
     path, schema = _staged(spark, sf)
     out = scratch_path(spark, "vocab")
     _run(jobs.vocab_stream(jobs.file_stream(spark, path, schema), "user_id", "id", out, scratch_path(spark, "ckpt")))
-    return jobs.latest(spark, out).select("token", "idx")
+    return jobs.growing_vocab(spark, out, "user_id").select("token", "idx")
 
 
 @query("str_vocab_growing", f"""
@@ -358,7 +358,7 @@ def _(spark, sf):
     out = scratch_path(spark, "vocab")
     stream = jobs.file_stream(spark, path, schema, 1).withColumn("key", F.col("user_id") * 40 + F.col("k").cast("int") % 40)
     _run(jobs.vocab_stream(stream, "key", "id", out, scratch_path(spark, "ckpt")))
-    return jobs.latest(spark, out).agg((F.max("idx") + 1).alias("vocab_size"), F.countDistinct("idx").alias("n_ids"))
+    return jobs.growing_vocab(spark, out, "key").agg((F.max("idx") + 1).alias("vocab_size"), F.countDistinct("idx").alias("n_ids"))
 
 
 @query("str_metrics", f"WITH {IMP} SELECT 'logloss' AS metric, {s6(f'avg({LOSS})')} AS value FROM imp")
