@@ -90,9 +90,9 @@ def _(spark, sf):
     return voc.vocab_sizes(voc.build_vocab(voc.token_counts(impressions(spark, sf), CATS), CATS))
 
 
-# Customer names' segments extended by part brands: two columns that share one vocabulary.
+# Two key columns that share one vocabulary.
 _MERGED = f"""
-a AS (SELECT DISTINCT 'owner' AS feature, CAST(l_suppkey AS VARCHAR) AS token FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 1),
+a AS (SELECT DISTINCT 'owner' AS feature, CAST(l_suppkey AS VARCHAR) AS token FROM lineitem),
 {vocab_sql('a', 'va')}, b AS (SELECT DISTINCT CAST(s_suppkey + 7 AS VARCHAR) AS token FROM supplier),
 fresh AS (SELECT token, row_number() OVER (ORDER BY token) AS nth FROM b WHERE token NOT IN (SELECT token FROM va)),
 o AS (SELECT idx AS oov FROM va WHERE token = '__OOV__')
@@ -102,7 +102,7 @@ UNION ALL SELECT '__OOV__', (SELECT oov FROM o) + (SELECT count(*) FROM fresh)""
 
 
 def _merge_inputs(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_returnflag = 'A' AND l_linenumber = 1").select(F.col("l_suppkey").alias("owner"))
+    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("owner"))
     sup = table(spark, sf, "supplier").select((F.col("s_suppkey") + 7).alias("other"))
     return voc.build_vocab(voc.token_counts(li, ["owner"]), ["owner"]), voc.token_counts(sup, ["other"])
 
@@ -128,7 +128,7 @@ def _(spark, sf):
 
 # ---- applying vocabularies -------------------------------------------------------------------------
 
-# Event types seen in training at least 1 000 times keep their id; the others are unknown.
+# Users seen in training at least 45 times keep their id; the others are unknown.
 _TRAIN_VOCAB = f"""{IMP}, sp AS (SELECT *, {hash_split_sql('id')} AS split FROM imp),
 tc AS (SELECT 'user_id' AS feature, CAST(user_id AS VARCHAR) AS token, count(*) AS cnt FROM sp WHERE split = 'train' GROUP BY 2 HAVING count(*) >= 45),
 {vocab_sql('tc')}"""

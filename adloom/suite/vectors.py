@@ -196,13 +196,13 @@ def _sample_and_scores(spark, sf):
 _SCORED = f"sc AS (SELECT id, score FROM imp WHERE {hash_split_sql('id')} = 'train' UNION ALL SELECT -o_orderkey - 1, 0.25::DOUBLE FROM orders)"
 
 
-@query("sub_matched", f"WITH {IMP}, {_SCORED} SELECT id AS \"ID\", sc.score AS clicked FROM imp JOIN sc USING (id)")
+@query("sub_truncate", f"WITH {IMP}, {_SCORED} SELECT id AS \"ID\", sc.score AS clicked FROM imp JOIN sc USING (id)")
 def _(spark, sf):
     sample, scores = _sample_and_scores(spark, sf)
     return submission.attach_matched(sample, scores, "ID", "score")
 
 
-@query("sub_mean_filled", f"WITH {IMP}, {_SCORED} SELECT id AS \"ID\", {s6('coalesce(sc.score, (SELECT avg(score) FROM sc))')} AS clicked FROM imp LEFT JOIN sc USING (id)")
+@query("sub_meanfill", f"WITH {IMP}, {_SCORED} SELECT id AS \"ID\", {s6('coalesce(sc.score, (SELECT avg(score) FROM sc))')} AS clicked FROM imp LEFT JOIN sc USING (id)")
 def _(spark, sf):
     sample, scores = _sample_and_scores(spark, sf)
     return submission.attach_filled(sample, scores, "ID", "score").withColumn("clicked", r6("clicked"))

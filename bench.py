@@ -17,7 +17,7 @@ HEADLINE = [
     "enc_quantile_bucket", "spl_hash", "spl_stratified", "spl_sequential", "idx_row_index", "smp_hash_n",
     "agg_cat_summary", "agg_describe", "agg_corr_matrix", "agg_nunique", "agg_token_topk", "agg_seq_stats",
     "met_logloss", "met_auc", "met_ap", "met_gauc", "met_mrr", "met_ndcg", "met_score", "met_compare", "met_evaluate",
-    "vec_sum_pool", "vec_kmax", "vec_fm", "vec_inner", "vec_attention", "sub_mean_filled", "win_topk",
+    "vec_sum_pool", "vec_kmax", "vec_fm", "vec_inner", "vec_attention", "sub_meanfill", "win_topk",
 ]
 
 

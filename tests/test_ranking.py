@@ -92,4 +92,23 @@ def test_only_bucket_totals_meet_in_one_partition(hot):
     plan = with_rank(df, ["x", "id"])._jdf.queryExecution().executedPlan().toString()
     for part in plan.split("Exchange SinglePartition")[1:]:
         below = part.split("\n")[1]
-        assert "HashAggregate(keys=[_bucket" in below or "collect_list" in below or "TakeOrdered" in below, below
+        bounded = ("HashAggregate(keys=[_bucket", "collect_list", "TakeOrdered", "partial_approx_count_distinct")
+        assert any(b in below for b in bounded), below
+
+
+def test_wide_table(spark):
+    """More columns than Spark generates code for."""
+    df = spark.range(300).select("id", *[(F.col("id") * i % 7).alias(f"c{i}") for i in range(150)])
+    got = with_row_index(df, ["c3", "id"]).orderBy("c3", "id").select("row_idx").collect()
+    assert [r[0] for r in got] == list(range(300))
+
+
+def test_release_deletes_only_own_tables(spark):
+    import os
+
+    from adloom.session import materialize, release, session_dir, shared_dir
+
+    df = materialize(spark.range(3))
+    assert df.count() == 3 and os.path.isdir(session_dir(spark))
+    release(spark)
+    assert not os.path.exists(session_dir(spark)) and os.path.isdir(shared_dir(spark))

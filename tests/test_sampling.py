@@ -85,3 +85,16 @@ def test_bad_submission_is_not_written(spark, tmp_path):
         submission.submit(df, str(path))
     assert not path.exists()
     assert submission.validate(df.drop("clicked")).first()["passed"] == 0
+
+
+def test_wide_correlation_equals_narrow(spark, monkeypatch):
+    from adloom.operators import profile
+
+    df = spark.range(50).select(*[((F.col("id") * (i + 3)) % 11).cast("double").alias(f"c{i}") for i in range(4)], F.lit(1.0).alias("k"))
+    cols = ["c0", "c1", "c2", "c3", "k"]
+    want = {(r["a"], r["b"]): r["corr"] for r in profile.correlation_matrix(df, cols).collect()}
+    monkeypatch.setattr(profile, "WIDE_PAIRS", 3)
+    got = {(r["a"], r["b"]): r["corr"] for r in profile.correlation_matrix(df, cols).collect()}
+    assert got.keys() == want.keys() and len(got) == 25
+    for key, value in want.items():
+        assert got[key] == (None if value is None else pytest.approx(value))
