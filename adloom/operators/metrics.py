@@ -23,8 +23,9 @@ from adloom.operators.ranking import running_totals, with_rank
 EPS = 1e-15
 # Fixed value: guards the division of per-group gains.
 TINY = 1e-12
-# Spark prunes row_number() <= k before the shuffle up to this k (its default group-limit threshold).
+# Spark prunes row_number() <= k before the shuffle up to this k, unless the session says otherwise.
 GROUP_LIMIT = 1000
+GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -193,7 +194,7 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int, name:
     For usual k Spark drops losing rows before the shuffle, so a hot group sends at most k rows per
     task; beyond that the order itself is distributed.
     """
-    if k <= GROUP_LIMIT:
+    if k <= int(df.sparkSession.conf.get(GROUP_LIMIT_SETTING, str(GROUP_LIMIT))):
         w = W.partitionBy(*by).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
     return with_rank(df, order, by, name).where(F.col(name) <= k)

@@ -12,6 +12,7 @@ from adloom.functions.arrays import WHITE_SPACE, split_tokens, token_count
 from adloom.operators.clean import is_missing, value_counts
 from adloom.operators.quantiles import interpolated_quantiles, unpivot, weighted_values
 from adloom.operators.vocab import feature_table
+from adloom.session import materialize
 
 # Column pairs up to which a correlation matrix is one wide aggregate.
 WIDE_PAIRS = 60
@@ -153,11 +154,15 @@ def label_correlation(df: DataFrame, columns: Sequence[str], label: str) -> Data
 def sequence_stats(df: DataFrame, name: str, sep: str = ",") -> DataFrame:
     """Length statistics of a delimited column: min, max, mean, std and exact percentiles."""
     lengths = df.select(token_count(name, sep).alias("len"))
-    basic = lengths.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("len").alias("min_len"), F.max("len").alias("max_len"),
-        F.avg("len").alias("mean_len"), F.stddev_samp("len").alias("std_len"),
+    # The table of distinct lengths answers everything else without splitting the texts again.
+    counted = materialize(weighted_values(lengths, ["len"]), "lengths")
+    n, total = F.sum("cnt"), F.sum(F.col("value") * F.col("cnt"))
+    spread = F.sum(F.col("value") * F.col("value") * F.col("cnt")) - total * total / n
+    basic = counted.agg(
+        F.coalesce(n, F.lit(0)).alias("n_rows"), F.min("value").cast("int").alias("min_len"), F.max("value").cast("int").alias("max_len"),
+        (total / n).alias("mean_len"), F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / F.nullif(n - 1, F.lit(0)))).alias("std_len"),
     )
-    q = interpolated_quantiles(weighted_values(lengths, ["len"]), LENGTH_QUANTILES)
+    q = interpolated_quantiles(counted, LENGTH_QUANTILES)
     found = q.select(F.struct(*LENGTH_QUANTILES).alias("q")).scalar()
     return basic.select("*", found.alias("q")).select(*basic.columns, *[F.col(f"q.{n}").alias(n) for n in LENGTH_QUANTILES])
 

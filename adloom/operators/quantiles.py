@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.operators.ranking import keys_at_ranks
-from adloom.session import materialize
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], kind: str, ids: Sequence[str] = ()) -> DataFrame:
@@ -28,20 +27,18 @@ def interpolated_quantiles(values: DataFrame, quantiles: Mapping[str, float]) ->
 
     No reducer holds a column: only the value buckets around the wanted ranks are ever sorted.
     """
-    values = materialize(values, "values")
     ranks = {}
     for name, q in quantiles.items():
         pos = (F.col("_total") - 1) * F.lit(float(q))
         ranks[f"_lo_{name}"] = F.floor(pos) + 1
         ranks[f"_hi_{name}"] = F.ceil(pos) + 1
-    totals = values.groupBy("feature").agg(F.sum("cnt").alias("_n"))
     found = keys_at_ranks(values, ["value"], ranks, ["feature"], "cnt")
     out = []
     for name, q in quantiles.items():
-        pos = (F.col("_n") - 1) * F.lit(float(q))
+        pos = (F.col("_total") - 1) * F.lit(float(q))
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return found.join(totals, "feature").select("feature", *out)
+    return found.select("feature", *out)
 
 
 def quantile_boundaries(df: DataFrame, columns: Sequence[str], num_buckets: int) -> DataFrame:

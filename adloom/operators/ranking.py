@@ -150,7 +150,7 @@ def keys_at_ranks(
     weight: str | Column | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One row per ``by`` group with the key found at each requested 1-based rank (null outside).
+    """One row per ``by`` group with the key at each requested 1-based rank (null outside) and ``_total``.
 
     ``ranks`` maps an output name to an expression over ``_total``, the group's total weight. Only
     the buckets that hold a wanted rank are ever sorted; the rest of the table is counted map-side.
@@ -159,9 +159,14 @@ def keys_at_ranks(
     buckets = buckets or min(CUTOFF_BUCKETS, 16 * shuffle_partitions(df.sparkSession))
     mass = F.lit(1).cast("bigint") if weight is None else (F.expr(weight) if isinstance(weight, str) else weight)
     narrow = df.select(*by, *order, mass.alias("_w"))
-    # Written once: the two passes below must cut the range at the same keys.
-    bounds = materialize(bucket_boundaries(narrow, [*by, *order], buckets), "bounds")
-    frame = with_bucket(narrow, [*by, *order], buckets, "_cell", bounds)
+    keys = [*by, *order]
+    if weight is None:
+        # Raw rows are cheaper to scan again than to store; both passes must cut at the same keys.
+        bounds = materialize(bucket_boundaries(narrow, keys, buckets), "bounds")
+        frame = with_bucket(narrow, keys, buckets, "_cell", bounds)
+    else:
+        # Weighted rows come from an aggregation: store them with their buckets and aggregate once.
+        frame = materialize(with_bucket(narrow, keys, buckets, "_cell", also=["_w"]), "weighted")
     upto = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
     cells = (
         frame.groupBy(*by, "_cell")
@@ -171,9 +176,9 @@ def keys_at_ranks(
     )
     wanted = F.array(*[F.struct(F.lit(n).alias("n"), r.cast("bigint").alias("r")) for n, r in ranks.items()])
     targets = (
-        cells.select(*by, "_cell", "_upto", "_n", F.explode(wanted).alias("t"))
+        cells.select(*by, "_cell", "_upto", "_n", "_total", F.explode(wanted).alias("t"))
         .where((F.col("t.r") <= F.col("_upto")) & (F.col("t.r") > F.col("_upto") - F.col("_n")))
-        .select(*by, "_cell", F.col("t.n").alias("_name"), (F.col("t.r") - F.col("_upto") + F.col("_n")).alias("_r"))
+        .select(*by, "_cell", "_total", F.col("t.n").alias("_name"), (F.col("t.r") - F.col("_upto") + F.col("_n")).alias("_r"))
     )
     # One row per group and rank.
     targets = materialize(targets, "targets")
@@ -183,7 +188,8 @@ def keys_at_ranks(
     ranked = running_totals(local, order, {"_cum": "_w"}, [*by, "_cell"])
     hit = F.col("_r").between(F.col("_cum") - F.col("_w") + 1, F.col("_cum"))
     found = null_safe_join(ranked, targets, [*by, "_cell"], "inner", broadcast=small, extra=hit).select(
-        *by, "_name", _key(order).alias("_k")
+        *by, "_total", "_name", _key(order).alias("_k")
     )
     groups = found.groupBy(*by) if by else found.groupBy()
-    return groups.agg(*[F.max(F.when(F.col("_name") == n, F.col("_k"))).alias(n) for n in ranks])
+    picked = [F.max(F.when(F.col("_name") == n, F.col("_k"))).alias(n) for n in ranks]
+    return groups.agg(*picked, F.max("_total").alias("_total"))

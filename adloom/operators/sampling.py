@@ -18,7 +18,7 @@ from adloom.operators.ranking import keys_at_ranks
 from adloom.session import materialize
 
 # Up to this many rows an exact sample is one bounded heap per task; above it, a cutoff filter.
-HEAP_ROWS = 100_000
+HEAP_ROWS = 1_000
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -37,7 +37,7 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 
 def _below_cutoff(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    last = keys_at_ranks(df, order, {"last": F.least(F.lit(n), F.col("_total"))}).scalar()
+    last = keys_at_ranks(df, order, {"last": F.least(F.lit(n), F.col("_total"))}).select("last").scalar()
     key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.where(key <= last)
 
@@ -64,14 +64,13 @@ def _tail_split(
 ) -> DataFrame:
     test, valid = split_size(test_size), split_size(valid_size)
     rank_of = {"test_from": F.col("_total") - test + 1, "valid_from": F.col("_total") - test - valid + 1}
-    cutoffs = keys_at_ranks(df, order, rank_of, by)
+    # One row per stratum, stored so that later passes over the split do not find the cutoffs again.
+    cutoffs = materialize(keys_at_ranks(df, order, rank_of, by).drop("_total"), "cutoffs")
     key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     label = (
         F.when(key >= F.col("test_from"), "test").when(key >= F.col("valid_from"), "valid").otherwise("train")
     )
     if by:
-        # One row per stratum.
-        cutoffs = materialize(cutoffs, "cutoffs")
         joined = null_safe_join(df, cutoffs, by, "left", broadcast=fits_broadcast(cutoffs, 256))
     else:
         both = cutoffs.select(F.struct("test_from", "valid_from").alias("c")).scalar()

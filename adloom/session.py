@@ -54,10 +54,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables this application wrote for itself; call it when their results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    fs, where = _file_system(spark, session_dir(spark))
+    fs.delete(where, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.functions.arrays import non_pad_count
+from adloom.session import path_exists
 
 
 def write_encoded(df: DataFrame, path: str, split: str | None = None, max_records: int | None = None, if_exists: str = "errorifexists") -> None:
@@ -26,12 +27,7 @@ def write_encoded(df: DataFrame, path: str, split: str | None = None, max_record
 def append_table(df: DataFrame, path: str) -> None:
     """Append rows; a schema that differs from the stored one is refused."""
     spark = df.sparkSession
-    try:
-        stored = spark.read.parquet(path).dtypes
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        stored = None
+    stored = spark.read.parquet(path).dtypes if path_exists(spark, path) else None
     if stored is not None and stored != df.dtypes:
         raise ValueError(f"schema mismatch: table has {stored}, rows have {df.dtypes}")
     df.write.mode("append").parquet(path)

@@ -10,6 +10,7 @@ from adloom.operators import vocab as voc
 from adloom.operators.quantiles import quantile_boundaries
 from adloom.operators.sampling import hash_split
 from adloom.plans import encoder as plan
+from adloom.plans.dataset import build_dataset, open_dataset
 from adloom.session import materialize, scratch_path
 from adloom.sources import writers
 from adloom.spec import restrict
@@ -162,7 +163,7 @@ SELECT doc_id, {pad} AS ids FROM g"""
 def _encode_docs(spark, sf, side, n):
     vocab = doc_vocab(spark, sf)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    out = enc.encode_sequence(docs, "text", " ", vocab, voc.collect_stats(vocab)["text"], n, side, out="ids")
+    out = enc.encode_sequence(docs, "text", " ", vocab, voc.collect_stats(vocab)["text"], n, side, out="ids", id_col="doc_id")
     return out.select("doc_id", joined_ids("ids").alias("ids"))
 
 
@@ -419,6 +420,26 @@ def _(spark, sf):
     return out.select("id", "event_type", "hour", "dow", r6("value").alias("value"), "clicked")
 
 
+@query("enc_build_dataset", f"""
+WITH {IMP}, r AS (SELECT *, row_number() OVER (ORDER BY id) AS rn, count(*) OVER () AS n FROM imp),
+sp AS (SELECT *, CASE WHEN rn > n - floor(n * 0.2::DOUBLE) THEN 'test' WHEN rn > n - floor(n * 0.2::DOUBLE) - floor(n * 0.1::DOUBLE) THEN 'valid' ELSE 'train' END AS split FROM r),
+m AS (SELECT min(value) AS a, max(value) - min(value) AS b FROM sp WHERE split = 'train'),
+h AS (SELECT hour, row_number() OVER (ORDER BY hour) AS idx FROM (SELECT DISTINCT hour FROM sp WHERE split = 'train'))
+SELECT split, count(*) AS n_rows, {s6('avg(clicked)')} AS click_rate, {s6('avg((value - a) / b)')} AS mean_value, CAST(sum(idx) AS BIGINT) AS hour_ids
+FROM sp JOIN h USING (hour), m GROUP BY split
+""")
+def _(spark, sf):
+    path = scratch_path(spark, "dataset")
+    for _ in range(2):
+        # The second call finds the data set and leaves it as it is.
+        build_dataset(impressions(spark, sf), TABLE_SPEC, LABEL, path, "events", ["id"], valid_size=0.1, test_size=0.2)
+    _, rows = open_dataset(spark, path, "events")
+    return rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), r6(F.avg("clicked")).alias("click_rate"), r6(F.avg("value")).alias("mean_value"),
+        F.sum("hour").alias("hour_ids"),
+    )
+
+
 @query("enc_shared_vocab", """
 WITH a AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS token FROM orders),
 va AS (SELECT token, row_number() OVER (ORDER BY token) AS idx FROM a),
