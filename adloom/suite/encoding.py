@@ -26,16 +26,20 @@ CAT_COUNTS = f"""{IMP}, long AS (
 cc AS (SELECT feature, token, count(*) AS cnt FROM long GROUP BY 1, 2)"""
 
 
-def vocab_sql(counts: str, name: str = "voc") -> str:
-    """Vocabulary CTE from (feature, token, cnt)."""
+def vocab_sql(counts: str, name: str = "voc", features: str = "") -> str:
+    """Vocabulary CTE from (feature, token, cnt); features without a token still get their reserved ids.
+
+    ``features`` is the relation that lists the features, where ``counts`` may have lost some.
+    """
     return f"""{name}_t AS (SELECT feature, token, row_number() OVER (PARTITION BY feature ORDER BY token) AS idx FROM {counts}),
-{name} AS (SELECT * FROM {name}_t UNION ALL SELECT DISTINCT feature, '__PAD__', 0 FROM {name}_t
-  UNION ALL SELECT feature, '__OOV__', max(idx) + 1 FROM {name}_t GROUP BY feature)"""
+{name}_f AS (SELECT DISTINCT feature FROM {features or counts}),
+{name} AS (SELECT * FROM {name}_t UNION ALL SELECT feature, '__PAD__', 0 FROM {name}_f
+  UNION ALL SELECT feature, '__OOV__', coalesce(max(idx), 0) + 1 FROM {name}_f LEFT JOIN {name}_t USING (feature) GROUP BY feature)"""
 
 
 DOC_COUNTS = f"{DOC_TOKENS}, dc AS (SELECT 'text' AS feature, token, cnt FROM cnts WHERE token <> '')"
 # A smaller vocabulary that leaves out rare tokens, so that encoding meets unknown ones.
-DOC_VOCAB = f"{DOC_COUNTS}, dcf AS (SELECT * FROM dc WHERE cnt >= 3), {vocab_sql('dcf')}"
+DOC_VOCAB = f"{DOC_COUNTS}, dcf AS (SELECT * FROM dc WHERE cnt >= 3), {vocab_sql('dcf', features='dc')}"
 
 
 def doc_counts(spark, sf):
@@ -53,7 +57,7 @@ def _ids(df):
 # ---- vocabularies --------------------------------------------------------------------------------
 
 
-@query("enc_vocab", f"WITH {CAT_COUNTS}, f AS (SELECT * FROM cc WHERE cnt >= 400), {vocab_sql('f')} SELECT * FROM voc")
+@query("enc_vocab", f"WITH {CAT_COUNTS}, f AS (SELECT * FROM cc WHERE cnt >= 400), {vocab_sql('f', features='cc')} SELECT * FROM voc")
 def _(spark, sf):
     return _ids(voc.build_vocab(voc.token_counts(impressions(spark, sf), CATS), CATS, min_freq=400))
 
@@ -132,7 +136,7 @@ def _(spark, sf):
 # Users seen in training at least 45 times keep their id; the others are unknown.
 _TRAIN_VOCAB = f"""{IMP}, sp AS (SELECT *, {hash_split_sql('id')} AS split FROM imp),
 tc AS (SELECT 'user_id' AS feature, CAST(user_id AS VARCHAR) AS token, count(*) AS cnt FROM sp WHERE split = 'train' GROUP BY 2 HAVING count(*) >= 45),
-{vocab_sql('tc')}"""
+{vocab_sql('tc', features="(SELECT 'user_id' AS feature)")}"""
 
 
 @query("enc_category", f"""
@@ -510,7 +514,7 @@ def _(spark, sf):
     return back.where("vocab_size IS NOT NULL").select("feature", "vocab_size", "oov_idx")
 
 
-@query("prj_override", f"WITH {CAT_COUNTS}, f AS (SELECT * FROM cc WHERE feature <> 'dow'), g AS (SELECT * FROM f WHERE feature <> 'hour' OR cnt >= 410), {vocab_sql('g')} SELECT feature, max(idx) + 1 AS vocab_size FROM voc GROUP BY 1")
+@query("prj_override", f"WITH {CAT_COUNTS}, f AS (SELECT * FROM cc WHERE feature <> 'dow'), g AS (SELECT * FROM f WHERE feature <> 'hour' OR cnt >= 410), {vocab_sql('g', features='f')} SELECT feature, max(idx) + 1 AS vocab_size FROM voc GROUP BY 1")
 def _(spark, sf):
     from adloom.spec import expand
 
