@@ -51,3 +51,8 @@ def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict], s
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, spark_schema)
+
+
+def extended(df: DataFrame, columns: list[str], added: str) -> StructType:
+    """The fields of some columns, followed by those that ``added`` declares."""
+    return StructType([df.schema[c] for c in columns] + _parse_datatype_string(added).fields)

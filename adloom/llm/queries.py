@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adloom.llm import bpe
-from adloom.llm.common import table
+from adloom.llm import bpe, langid, toxicity
+from adloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +29,27 @@ def tokenizer_path(name: str) -> str:
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of ids and decoded text of every whole document."""
     return bpe.digest(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+# Rows whose id leaves remainder 0 of 5 (toxicity) or 2 of 4 (language) are held out: nothing is learned from them.
+def labelled_for_toxicity(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("_doc"), "toxic").where("toxic is not null")
+    return docs.where(remainder("doc_id", 5) != 0).join(labels, F.col("doc_id") == F.col("_doc")).select("text", "toxic")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Score, prediction and toxic passages of every whole document, learned from the labelled ones not held out."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(labelled_for_toxicity(spark, docs, sf))
+    out = toxicity.score(docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "score", "predicted", "passages")
+
+
+@query
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every whole document, learned from those not held out."""
+    docs = table(spark, sf, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
