@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, langid, toxicity
+from adloom.llm import bpe, fingerprint, langid, toxicity
 from adloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every whole document and of its edited text, with their likeness."""
+    return fingerprint.compare(table(spark, sf, "documents"))
+
+
 @query
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of ids and decoded text of every whole document."""
