@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, fingerprint, langid, toxicity
+from adloom.llm import bpe, decontaminate, fingerprint, html, langid, toxicity, warc
 from adloom.llm.common import remainder, table
+from adloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,59 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     held_out = remainder("doc_id", 4) == 2
     model = langid.fit(docs.where(~held_out))
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@query
+def op4_html(spark: SparkSession, sf: str) -> DataFrame:
+    """Visible text of every page."""
+    return html.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions of every whole document that lie within the edit budget of a benchmark item."""
+    found = decontaminate.search(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.explode("regions").alias("r")).select("doc_id", "r.item_id", "r.start", "r.end", "r.edits")
+
+
+# The second replica: of the pages one in 500 has a flipped first letter, one in 500 has lost its last character.
+DAMAGE = 500
+
+
+def replica(body: Column, page_id: Column) -> Column:
+    at = F.pmod(F.coalesce(page_id, F.lit(-1)) * 7919, F.lit(DAMAGE))
+    cut = F.substring(body, 1, F.greatest(F.length(body) - 1, F.lit(0)))
+    return F.when(at == 7, F.concat(F.lit("#"), F.substring(body, 2, 1 << 30))).when(at == 11, cut).otherwise(body)
+
+
+@query
+def op9_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged records of a second replica of all pages, by number, offset, and digest and length on both sides."""
+    pages = table(spark, sf, "pages")
+    sides = [F.struct(*warc.leaf(warc.record(F.col("url"), b))).alias(n) for n, b in (("a", F.col("html")), ("b", replica(F.col("html"), F.col("page_id"))))]
+    key = F.coalesce(F.col("page_id"), F.lit(-1)).alias("page")
+    rows = pages.select(key, F.coalesce("url", F.lit("")).alias("url"), *sides)
+    leaves = materialize(rows.select("page", "url", F.col("a.hash").alias("digest"), F.col("a.length").alias("length"), "b"), "leaves")
+    leaves = materialize(warc.numbered(leaves, ["page", "url", "digest"]), "numbered")
+    one = leaves.select("node", F.col("digest").alias("hash"), "length")
+    two = leaves.select("node", F.col("b.hash").alias("hash"), F.col("b.length").alias("length"))
+    found = warc.audit(one, two).select("node", "hash_a", "hash_b", "length_a", "length_b")
+    out = found.join(leaves.select("node", "page", "offset"), "node")
+    return out.select(F.col("page").alias("page_id"), F.col("node").alias("record"), "offset", "hash_a", "hash_b", "length_a", "length_b")
+
+
+def _record_sql(body: str) -> str:
+    head = "'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')"
+    return f"{head} || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen({body}) AS VARCHAR) || repeat(chr(13) || chr(10), 2) || {body} || repeat(chr(13) || chr(10), 2)"
+
+
+ORACLES["op9_merkle"] = f"""
+WITH p AS (SELECT coalesce(page_id, -1) AS page_id, coalesce(url, '') AS url, coalesce(html, '') AS body FROM pages),
+d AS (SELECT *, CASE (page_id * 7919) % {DAMAGE} WHEN 7 THEN '#' || substr(body, 2)
+  WHEN 11 THEN substr(body, 1, greatest(length(body) - 1, 0)) ELSE body END AS other FROM p),
+r AS (SELECT page_id, url, {_record_sql('body')} AS a, {_record_sql('other')} AS b FROM d),
+h AS (SELECT page_id, url, sha256(a) AS hash_a, sha256(b) AS hash_b, strlen(a) AS length_a, strlen(b) AS length_b FROM r),
+n AS (SELECT *, row_number() OVER w - 1 AS record, CAST(sum(length_a) OVER w AS BIGINT) - length_a AS "offset" FROM h
+  WINDOW w AS (ORDER BY page_id, url, hash_a ROWS UNBOUNDED PRECEDING))
+SELECT page_id, record, "offset", hash_a, hash_b, length_a, length_b FROM n WHERE hash_a <> hash_b
+"""
