@@ -39,16 +39,15 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Rows whose id leaves remainder 0 of 5 (toxicity) or 2 of 4 (language) are held out: nothing is learned from them.
-def labelled_for_toxicity(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
-    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("_doc"), "toxic").where("toxic is not null")
-    return docs.where(remainder("doc_id", 5) != 0).join(labels, F.col("doc_id") == F.col("_doc")).select("text", "toxic")
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Model:
+    return toxicity.fit(docs, table(spark, sf, "labels").where(remainder("doc_id", 5) != 0))
 
 
 @query
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Score, prediction and toxic passages of every whole document, learned from the labelled ones not held out."""
     docs = table(spark, sf, "documents")
-    model = toxicity.fit(labelled_for_toxicity(spark, docs, sf))
+    model = toxicity_model(spark, docs, sf)
     out = toxicity.score(docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "text"), model)
     return out.select("doc_id", "held_out", "score", "predicted", "passages")
 

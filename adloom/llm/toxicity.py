@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import extended, map_text
-from adloom.llm.fitting import label_sample
+from adloom.llm.fitting import label_sample, usable_text
 from adloom.session import materialize
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -117,10 +117,17 @@ def count_forms(sample: DataFrame, text: str, label: str) -> DataFrame:
     return map_text(sample.select(text, label), text, run, "form string, n0 long, n1 long").groupBy("form").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "toxic", per_label: int = 4000) -> Model:
-    """Learn from about ``per_label`` texts of each label; labels other than 0 and 1 take no part."""
-    usable = docs.select(text, F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1))
-    sample = materialize(label_sample(usable, text, label, per_label, 2).dropDuplicates([text]), "toxicity-sample")
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", id_col: str = "doc_id", per_label: int = 4000) -> Model:
+    """Learn from about ``per_label`` labelled documents of each label; labels other than 0 and 1 take no part.
+
+    The labels are sampled by id before they meet the documents, so only about twice ``per_label`` ids are broadcast and no
+    text is shuffled but the sample's.
+    """
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _id is not null")
+    ids = label_sample(known.distinct(), "_id", "_label", per_label, 2)
+    texts = docs.where(usable_text(text)).select(F.col(id_col).alias("_id"), F.col(text).alias(text))
+    sample = texts.join(F.broadcast(ids), "_id").select(text, F.col("_label").alias(label)).dropDuplicates([text])
+    sample = materialize(sample, "toxicity-sample")
     counts = count_forms(sample, text, label).where("n0 + n1 >= 3").toPandas()  # bounded by the sample
     weights: dict[str, float] = {}
     if len(counts):
