@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, decontaminate, fingerprint, html, langid, toxicity, warc
+from adloom.llm import bpe, decontaminate, fingerprint, html, langid, privacy, toxicity, warc
 from adloom.llm.common import remainder, table
 from adloom.session import materialize
 
@@ -100,6 +100,12 @@ def op9_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("page").alias("page_id"), F.col("node").alias("record"), "offset", "hash_a", "hash_b", "length_a", "length_b")
 
 
+@query
+def op10_privacy(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every whole document, and the words beside it that disclose it."""
+    return privacy.report(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def _record_sql(body: str) -> str:
     head = "'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')"
     return f"{head} || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen({body}) AS VARCHAR) || repeat(chr(13) || chr(10), 2) || {body} || repeat(chr(13) || chr(10), 2)"
