@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, decontaminate, fingerprint, html, langid, privacy, toxicity, warc
+from adloom.llm import bpe, decontaminate, fingerprint, html, langid, ngram_join, privacy, toxicity, warc
 from adloom.llm.common import remainder, table
 from adloom.session import materialize
 
@@ -61,6 +61,12 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate group, number of links and of copies of every document."""
+    return ngram_join.join(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_html(spark: SparkSession, sf: str) -> DataFrame:
     """Visible text of every page."""
