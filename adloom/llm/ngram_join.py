@@ -312,12 +312,8 @@ def verified(members: DataFrame) -> DataFrame:
     return per_unit(blocked(members, "root", "rep"), run, "rep long, links long, root long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``id_col``, ``class_id`` (smallest id of its near-duplicate group), ``n_links`` (other rows whose likeness to it
-    is 0.8 or more, copies included) and ``copies`` (rows with its set of shingles, itself included).
-
-    Ids are whole numbers; rows that repeat an id are rows of their own in the counts, and null ids form no group.
-    """
+def _classes(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and per set of shingles: least (id, hash of text) of its group, links and copies."""
     rows = materialize(signatures(docs, id_col, text), "signatures")
     known = rows.where("_id is not null")
     # Rows of one set have the same size and values.
@@ -333,9 +329,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     near = found.groupBy("rep").agg(F.sum("links").alias("links"))
     linked = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     linked = linked.withColumnRenamed("node", "rep")
-    placed = classes.select("rep", "set", "_id", "copies").join(near, "rep", "left").join(linked, "rep", "left").withColumn("group", F.coalesce("root", "rep"))
-    least = placed.groupBy("group").agg(F.min("_id").alias("class_id"))
-    named = placed.join(least, "group").select("set", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
-    out = rows.select("_id", "set").join(named, "set", "left").where("_id is not null").select("_id", "class_id", "n_links", "copies")
+    placed = classes.select("rep", "set", "_id", "hash", "copies").join(near, "rep", "left").join(linked, "rep", "left").withColumn("group", F.coalesce("root", "rep"))
+    least = placed.groupBy("group").agg(F.min(F.struct("_id", "hash")).alias("_least"))
+    links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    return rows, placed.join(least, "group").select("set", "_least", links, "copies")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``id_col``, ``class_id`` (smallest id of its near-duplicate group), ``n_links`` (other rows whose likeness to it
+    is 0.8 or more, copies included) and ``copies`` (rows with its set of shingles, itself included).
+
+    Ids are whole numbers; rows that repeat an id are rows of their own in the counts, and null ids form no group.
+    """
+    rows, classes = _classes(docs, id_col, text)
+    out = rows.where("_id is not null").select("_id", "set").join(classes, "set")
+    out = out.select("_id", F.col("_least._id").alias("class_id"), "n_links", "copies")
     lone = rows.where("_id is null").select("_id", F.lit(None).cast("long"), F.lit(0).cast("long"), F.lit(1).cast("long"))
     return out.union(lone).withColumnRenamed("_id", id_col)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one of smallest id, and of its texts the one of smallest hash.
+
+    Of rows with this id and text one stays. Rows with a null id stay all.
+    """
+    _, classes = _classes(docs, id_col, text)
+    kept = classes.select(F.col("_least._id").alias("_id"), F.col("_least.hash").alias("_hash")).distinct()
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    chosen = keyed.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return chosen.select(*docs.columns).unionByName(keyed.where("_id is null").select(*docs.columns))

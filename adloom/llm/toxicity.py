@@ -192,10 +192,11 @@ def _memory(holder) -> tuple[Model, Memory]:
 def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``score``, ``predicted`` and ``passages`` (first word, last word, sum, score) of every whole text.
 
-    A passage is reported if it alone would make its text toxic.
+    A passage is reported if it alone would make its text toxic. Columns of the added names are replaced.
     """
     holder = docs.sparkSession.sparkContext.broadcast(tuple(model))  # at most KEEP forms
-    others = [f.name for f in docs.schema if keep_text or f.name != text]
+    added = "score double, predicted int, passages array<struct<first:int,last:int,sum:double,score:double>>"
+    others = [c for c in docs.columns if (keep_text or c != text) and c not in ("score", "predicted", "passages")]
 
     def run(batch: pa.RecordBatch) -> dict:
         fitted, memory = _memory(holder)
@@ -207,5 +208,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = F
             found.append([{"first": a, "last": b, "sum": s, "score": p} for a, b, s, p in rated if p >= 0.5])
         return {c: batch.column(c) for c in others} | {"score": scores, "predicted": [int(s >= 0.5) for s in scores], "passages": found}
 
-    added = "score double, predicted int, passages array<struct<first:int,last:int,sum:double,score:double>>"
     return map_text(docs, text, run, extended(docs, others, added))
