@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, decontaminate, fingerprint, html, langid, ngram_join, privacy, toxicity, warc
+from adloom.llm import bpe, decontaminate, fingerprint, html, langid, lm, ngram_join, privacy, toxicity, warc
 from adloom.llm.common import remainder, table
 from adloom.session import materialize
 
@@ -38,6 +38,13 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digest(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op5_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Bigram and base score of every whole document, learned from those not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "text")
+    return lm.score(docs, "not held_out")
+
+
 # Rows whose id leaves remainder 0 of 5 (toxicity) or 2 of 4 (language) are held out: nothing is learned from them.
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Model:
     return toxicity.fit(docs, table(spark, sf, "labels").where(remainder("doc_id", 5) != 0))
