@@ -58,7 +58,9 @@ def rejoin(text: str | Column, sep: str = ",", new_sep: str = "^", max_len: int
 
 
 def clip(value: str | Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), as_col(value)))
+    """Bounded value; null stays null and NaN stays NaN."""
+    x = as_col(value)
+    return F.when(F.isnan(x.cast("double")), x).when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
 
 
 def sigmoid(x: str | Column) -> Column:

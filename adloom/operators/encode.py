@@ -184,7 +184,3 @@ def align_pretrained(vocab: DataFrame, pretrained: DataFrame, dim: int, frozen:
 
         missing = F.when(F.col("idx") == PAD_IDX, zeros).otherwise(F.transform(F.sequence(F.lit(1), F.lit(dim)), noise))
     return found.select("token", "idx", F.coalesce("_v", missing).alias("vector"))
-
-
-def oov_of(vocab: DataFrame) -> DataFrame:
-    return vocab.where(F.col("token") == OOV).select("feature", F.col("idx").alias("oov_idx"))

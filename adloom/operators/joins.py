@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup table is broadcast only when it was counted and fits this many rows / bytes.
 BROADCAST_ROWS = 1_000_000
@@ -36,10 +37,26 @@ def null_safe_join(
     return out.drop(*[f"_r_{c}" for c in on])
 
 
-def fits_broadcast(table: DataFrame, row_bytes: int) -> bool:
-    """Count ``table`` up to the broadcast limit; rows past the limit are not read."""
-    limit = min(BROADCAST_ROWS, BROADCAST_BYTES // max(row_bytes, 1))
-    return table.limit(limit + 1).count() <= limit
+def _measure(name: str, kind: T.DataType) -> Column:
+    """Bytes of one value; texts and arrays by their own length."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
+        return F.lit(16) + F.greatest(F.size(c), F.lit(0)) * 8
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.lit(16) + 4 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return F.lit(16)
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether the rows and bytes of ``table``, as measured by one aggregate, lie within the broadcast limits.
+
+    Give it a stored table or a cheap plan: what is above the table runs once more when it is used.
+    """
+    size = reduce(lambda a, b: a + b, [_measure(f.name, f.dataType).cast("bigint") for f in table.schema], F.lit(0).cast("bigint"))
+    rows, size_ = table.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows <= BROADCAST_ROWS and (size_ or 0) <= BROADCAST_BYTES
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -3,6 +3,8 @@
 Rows with equal scores are combined before anything is ordered, and orders are distributed
 (:mod:`adloom.operators.ranking`), so neither the table nor one group has to fit a task.
 Undefined values (one class only, no rows) are null.
+
+Rows whose label or score is null or NaN take no part in any metric; :func:`unscored` counts them.
 """
 
 from __future__ import annotations
@@ -32,13 +34,23 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
+def _known(*columns: str) -> Column:
+    """Rows on which all of these are numbers."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns])
+
+
+def unscored(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Number of rows that the metrics leave out."""
+    return df.agg(F.count_if(~_known(label, score)).alias("n_unscored"))
+
+
 def pointwise_loss(label: str, score: str) -> Column:
     y, p = F.col(label).cast("double"), clip(F.col(score).cast("double"), EPS, 1 - EPS)
     return -(y * F.log(p) + (1 - y) * F.log(1 - p))
 
 
 def log_loss(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.agg(F.avg(pointwise_loss(label, score)).alias("logloss"))
+    return df.where(_known(label, score)).agg(F.avg(pointwise_loss(label, score)).alias("logloss"))
 
 
 # ---- threshold curve: AUC and AP ---------------------------------------------------------------
@@ -47,7 +59,7 @@ def log_loss(df: DataFrame, label: str, score: str) -> DataFrame:
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, highest first: pos, n and their inclusive running sums."""
     cells = (
-        df.select(*by, (-F.col(score).cast("double") + F.lit(0.0)).alias("_neg"), F.col(label).cast("double").alias("_y"))
+        df.where(_known(label, score)).select(*by, (-F.col(score).cast("double") + F.lit(0.0)).alias("_neg"), F.col(label).cast("double").alias("_y"))
         .groupBy(*by, "_neg")
         .agg(F.sum("_y").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
     )
@@ -117,6 +129,7 @@ def weighted_log_loss(
 ) -> DataFrame:
     """Log loss with classes balanced 50:50, or weighted (negative, positive)."""
     terms = _wll_terms(label, score)
+    df = df.where(_known(label, score))
     sums = df.groupBy(*by).agg(*terms) if by else df.agg(*terms)
     return sums.select(*by, _wll(class_weights).alias("wll"))
 
@@ -170,7 +183,7 @@ def avg_auc(df: DataFrame, group: str, label: str, score: str) -> DataFrame:
 
 
 def _best_first(df: DataFrame, group: str, label: str, score: str, tie: str) -> DataFrame:
-    return df.select(
+    return df.where(_known(label, score)).select(
         F.col(group).alias("_g"), F.col(label).cast("double").alias("_y"),
         (-F.col(score).cast("double") + F.lit(0.0)).alias("_neg"), F.col(tie).alias("_id"),
     )
@@ -218,7 +231,8 @@ def ndcg(df: DataFrame, group: str, label: str, score: str, tie: str, k: int) ->
 
 # ---- dispatch ------------------------------------------------------------------------------------
 
-_NDCG = re.compile(r"NDCG\(\s*(?:k\s*=\s*)?(\d+)\s*\)")
+# NDCG() is NDCG(k=1).
+_NDCG = re.compile(r"NDCG\(\s*(?:(?:k\s*=\s*)?(\d+)\s*)?\)")
 _LOSS_NAMES = ("logloss", "binary_crossentropy")
 _GROUP_AUC = ("gAUC", "avgAUC")
 
@@ -228,7 +242,7 @@ def evaluate(
 ) -> DataFrame:
     """(metric, value) for each requested name, in one lazy plan.
 
-    Names: logloss, binary_crossentropy, AUC, gAUC, avgAUC, MRR, NDCG(k=…). ``tie`` is the id column
+    Names: logloss, binary_crossentropy, AUC, gAUC, avgAUC, MRR, NDCG(k=…), NDCG(). ``tie`` is the id column
     that settles equal scores in MRR and NDCG.
     """
     grouped = [m for m in metrics if m in (*_GROUP_AUC, "MRR") or _NDCG.fullmatch(m)]
@@ -264,7 +278,7 @@ def evaluate(
         parts.append(rows(mrr(df, group, label, score, tie), {"MRR": "mrr"}))
     for m in place:
         if _NDCG.fullmatch(m):
-            parts.append(rows(ndcg(df, group, label, score, tie, int(_NDCG.fullmatch(m).group(1))), {m: "ndcg"}))
+            parts.append(rows(ndcg(df, group, label, score, tie, int(_NDCG.fullmatch(m).group(1) or 1)), {m: "ndcg"}))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,4 +1,4 @@
-"""Profiling reports: value counts, click rates, missing values, correlations, histograms."""
+"""Profiling reports: value counts, click rates, missing values, correlations, histograms. NaN counts as missing."""
 
 from __future__ import annotations
 
@@ -117,9 +117,14 @@ def schema_report(df: DataFrame) -> DataFrame:
     return agg.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
+def number(c: str) -> Column:
+    """A column as double, NaN counting as missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def safe_corr(a: str, b: str) -> Column:
-    """Pearson correlation over rows where both are present; null when either is constant."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    """Pearson correlation over rows where both are numbers; null when either is constant."""
+    x, y = number(a), number(b)
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
     varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
@@ -181,7 +186,7 @@ def top_tokens(df: DataFrame, name: str, sep: str = ",", n: int = 10) -> DataFra
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    agg = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{k}") for c in columns for k, f in (("min", F.min), ("max", F.max))])
+    agg = df.agg(*[f(number(c)).alias(f"{c}__{k}") for c in columns for k, f in (("min", F.min), ("max", F.max))])
     return _rows_to_columns(agg, {c: {"min": f"{c}__min", "max": f"{c}__max"} for c in columns})
 
 
@@ -192,7 +197,7 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def equal_width_histogram(df: DataFrame, name: str, bins: int = 10) -> DataFrame:
     """(bin, low, high, cnt); the last bin is closed, a constant column spans ±0.5 around its value."""
-    x = F.col(name).cast("double")
+    x = number(name)
     span = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     span = span.select(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -213,7 +218,7 @@ def equal_width_histogram(df: DataFrame, name: str, bins: int = 10) -> DataFrame
 
 def range_histogram(df: DataFrame, name: str, edges: Sequence[float]) -> DataFrame:
     """Counts in half-open ranges [edge, next edge); the last range is open at the top."""
-    x = F.col(name)
+    x = number(name)
     conds = [(x >= lo) & (x < hi) for lo, hi in zip(edges, edges[1:])] + [x >= edges[-1]]
     agg = df.agg(*[F.count_if(c).alias(f"r{i}") for i, c in enumerate(conds)])
     entries = [
@@ -224,7 +229,7 @@ def range_histogram(df: DataFrame, name: str, edges: Sequence[float]) -> DataFra
 
 
 def prediction_summary(df: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:
-    x = F.col(score).cast("double")
+    x = number(score)
     return df.agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"),
         F.stddev_pop(x).alias("std"), F.count_if(x > threshold).alias("n_positive"), F.count_if(x <= threshold).alias("n_negative"),
@@ -232,7 +237,7 @@ def prediction_summary(df: DataFrame, score: str, threshold: float = 0.5) -> Dat
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    y = F.col(label).cast("double")
+    y = number(label)
     return df.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(y == 1).alias("positives"), F.count_if(y == 0).alias("negatives"),
         F.avg(y).alias("rate"),

@@ -182,7 +182,7 @@ def keys_at_ranks(
     )
     # One row per group and rank.
     targets = materialize(targets, "targets")
-    small = fits_broadcast(targets, 256)
+    small = fits_broadcast(targets)
     cells_hit = targets.select(*by, "_cell").distinct()
     local = materialize(null_safe_join(frame, cells_hit, [*by, "_cell"], "left_semi", broadcast=small), "cells")
     ranked = running_totals(local, order, {"_cum": "_w"}, [*by, "_cell"])

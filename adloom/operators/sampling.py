@@ -71,7 +71,7 @@ def _tail_split(
         F.when(key >= F.col("test_from"), "test").when(key >= F.col("valid_from"), "valid").otherwise("train")
     )
     if by:
-        joined = null_safe_join(df, cutoffs, by, "left", broadcast=fits_broadcast(cutoffs, 256))
+        joined = null_safe_join(df, cutoffs, by, "left", broadcast=fits_broadcast(cutoffs))
     else:
         both = cutoffs.select(F.struct("test_from", "valid_from").alias("c")).scalar()
         joined = df.select("*", both.alias("_c")).select(

@@ -19,7 +19,6 @@ from adloom.operators.metrics import TINY, top_k
 
 MAX_ORDER = 5
 MASKED_SCORE = -1e9
-VECTOR_ROW_BYTES = 4096
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -103,7 +102,7 @@ def target_attention(
     cols = [entity, doubles(vector).alias("_v"), F.pmod(F.xxhash64(vector), F.lit(SALTS)).alias("_salt")]
     if mask:
         cols.append(F.col(mask).alias("_mask"))
-    joined = null_safe_join(items.select(*cols), t, [entity], "inner", broadcast=fits_broadcast(t, VECTOR_ROW_BYTES))
+    joined = null_safe_join(items.select(*cols), t, [entity], "inner", broadcast=fits_broadcast(t))
     width = F.floor(F.size("_v") / heads).cast("int")
     parts = F.transform(
         F.sequence(F.lit(0), F.lit(heads - 1)),
@@ -151,7 +150,7 @@ def embedding_lookup(df: DataFrame, entity: str, ids: str, table: DataFrame, idx
         if kind.startswith("array") else df.select(entity, F.lit(0).alias("pos"), F.col(ids).alias("_id"))
     )
     vectors = table.select(F.col(idx).alias("_idx"), doubles(vector).alias("vector"))
-    if fits_broadcast(vectors, VECTOR_ROW_BYTES):
+    if fits_broadcast(vectors):
         vectors = F.broadcast(vectors)
     return long.join(vectors, F.col("_id") == F.col("_idx")).select(entity, "pos", "vector")
 

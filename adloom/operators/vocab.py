@@ -182,10 +182,25 @@ def extend_vocab(vocab: DataFrame, new_tokens: DataFrame, order: Sequence[str] =
     return vocab.where(F.col("token") != OOV).unionByName(fresh).unionByName(moved)
 
 
-def merge_vocab(shared: DataFrame, column_vocab: DataFrame, owner: str) -> DataFrame:
-    """Add the real tokens of another feature's vocabulary to the vocabulary of ``owner``."""
+def add_own_ids(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Add tokens that are their own ids; OOV moves to one past the highest id of its feature."""
+    unseen = anti_join(tokens.select("feature", "token", "cnt"), vocab, ["feature", "token"]).withColumn("idx", F.col("token").cast("bigint"))
+    oov = F.col("token") == OOV
+    both = vocab.where(~oov).unionByName(unseen)
+    top = both.where(F.col("token") != PAD).groupBy("feature").agg(F.max("idx").alias("_top"))
+    moved = vocab.where(oov).join(top, "feature", "left").select(
+        "feature", "token", F.greatest("idx", F.coalesce(F.col("_top") + 1, F.col("idx"))).alias("idx"), "cnt"
+    )
+    return both.unionByName(moved)
+
+
+def merge_vocab(shared: DataFrame, column_vocab: DataFrame, owner: str, remap: bool = True) -> DataFrame:
+    """Add the real tokens of another feature's vocabulary to the vocabulary of ``owner``.
+
+    Without ``remap`` they keep the integers they are.
+    """
     tokens = column_vocab.where(~F.col("token").isin(PAD, OOV)).select(F.lit(owner).alias("feature"), "token", "cnt")
-    return extend_vocab(shared, tokens)
+    return extend_vocab(shared, tokens) if remap else add_own_ids(shared, tokens)
 
 
 def vocab_sizes(vocab: DataFrame) -> DataFrame:

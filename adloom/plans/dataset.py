@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adloom.operators.profile import union_all
 from adloom.operators.sampling import random_split, sequential_split
 from adloom.plans.encoder import FittedEncoder, fit, load
-from adloom.session import path_exists
+from adloom.session import path_exists, remove_path
 from adloom.sources.writers import write_encoded
 from adloom.spec import FeatureSpec
 
@@ -38,7 +38,7 @@ def build_dataset(
     first column); without, the given tables are used. An existing data set is loaded, not rebuilt.
     """
     spark = train.sparkSession
-    if path_exists(spark, f"{path}/encoder/state"):
+    if path_exists(spark, f"{path}/encoder/state/_SUCCESS"):
         return load(spark, f"{path}/encoder", dataset_id)
     if split_type not in ("sequential", "random"):
         raise ValueError(f"split_type {split_type!r} is not supported")
@@ -52,6 +52,8 @@ def build_dataset(
         rows = union_all([df.withColumn("split", F.lit(name)) for name, df in parts if df is not None])
     fitted = fit(rows.where(F.col("split") == "train"), feature_cols, label_col, dataset_id, **fit_options)
     encoded = fitted.transform(rows, keep=[*keep, "split"], id_col=order[0] if len(order) == 1 else None)
+    # The encoder's state is stored last: data without it come from a run that broke off, and are replaced.
+    remove_path(spark, f"{path}/data")
     write_encoded(encoded, f"{path}/data", split="split", max_records=max_records)
     fitted.save(f"{path}/encoder")
     return fitted

@@ -1,7 +1,7 @@
 """Fit and apply a whole column spec: the table-level encoder.
 
-Fitting takes a fixed number of Spark jobs whatever the number of columns: one aggregate for scalers
-and sequence lengths, one token count for all vocabularies, one for bucket boundaries if there are any.
+Fitting takes one aggregate for scalers, one for sequence lengths, one token count for all vocabularies, one merge
+for all shared ones, one run per distinct bucket count and one per pretrained feature.
 Applying it is one lazy plan over a batch or streaming table.
 """
 
@@ -21,7 +21,7 @@ from adloom.operators import encode as enc
 from adloom.operators import vocab as voc
 from adloom.operators.clean import is_missing, spark_type
 from adloom.operators.quantiles import quantile_boundaries
-from adloom.session import materialize
+from adloom.session import materialize, path_exists
 from adloom.spec import FeatureSpec, LabelSpec, expand, labels
 
 
@@ -30,10 +30,13 @@ def prepare(
 ) -> DataFrame:
     """Fill missing values, cast to the declared types, run hooks, keep the active columns.
 
-    Labels come first, then features in reverse spec order; ``keep`` columns pass through in front.
-    A non-text column without ``fill_na`` fails at run time if it really has missing values.
+    Labels come first, then features in reverse spec order; ``keep`` columns pass through in front. Labels
+    may be absent; an absent active feature that no hook makes is an error. A non-text column without ``fill_na`` fails at run time if it really has missing values.
     """
     order = [*label_specs, *reversed(specs)]
+    absent = [s.name for s in specs if s.active and not s.preprocess and s.name not in df.columns]
+    if absent:
+        raise ValueError(f"the table lacks the feature columns {absent}")
     for s in order:
         kind = "string" if getattr(s, "is_float_sequence", False) else spark_type(s.dtype)
         if s.name in df.columns:
@@ -86,8 +89,14 @@ class FittedEncoder:
     def transform(self, df: DataFrame, prepared: bool = False, keep: Sequence[str] = (), id_col: str | None = None) -> DataFrame:
         """Encode a table: ``keep`` columns, features in spec order, then labels.
 
-        ``id_col`` (unique) is only used by sequence vocabularies too large to broadcast.
+        ``id_col`` (unique) is only used by sequence vocabularies too large to broadcast. Streams go through
+        :func:`adloom.streaming.jobs.transform_stream`, which applies this plan to each micro-batch.
         """
+        if df.isStreaming:
+            raise ValueError("encode a stream with adloom.streaming.jobs.transform_stream")
+        absent = [s.name for s in self.specs if s.active and s.name not in df.columns] if prepared else []
+        if absent:
+            raise ValueError(f"the table lacks the feature columns {absent}")
         if not prepared:
             df = prepare(df, self.specs, self.labels, keep)
         for s in self.specs:
@@ -173,10 +182,14 @@ class FittedEncoder:
     def save(self, path: str, mode: str = "errorifexists") -> None:
         """Tables only: vocabulary, feature map and one row of fitted state."""
         spark = self.vocab.sparkSession
-        self.vocab.write.mode(mode).parquet(f"{path}/vocab")
-        self.feature_map_df(spark).coalesce(1).write.mode(mode).parquet(f"{path}/feature_map")
         if any(callable(s.normalizer) for s in self.specs):
             raise ValueError("function normalizers cannot be saved; register them again after loading")
+        if mode == "errorifexists" and path_exists(spark, f"{path}/state/_SUCCESS"):
+            raise ValueError(f"{path} already holds an encoder")
+        # The state comes last and marks the whole as stored; leftovers of a run that broke off are replaced.
+        mode = "overwrite"
+        self.vocab.write.mode(mode).parquet(f"{path}/vocab")
+        self.feature_map_df(spark).coalesce(1).write.mode(mode).parquet(f"{path}/feature_map")
         state = {
             "dataset_id": self.dataset_id,
             "specs": [asdict(s) for s in self.specs],
@@ -195,14 +208,29 @@ FEATURE_MAP_SCHEMA = (
 )
 
 
-def load(spark: SparkSession, path: str, dataset_id: str) -> FittedEncoder:
-    """Reload a saved encoder; another dataset's encoder is refused."""
+def load(
+    spark: SparkSession, path: str, dataset_id: str, use_features: Sequence[str] | None = None,
+    feature_specs: Mapping[str, Mapping[str, Any]] | None = None,
+) -> FittedEncoder:
+    """Reload a saved encoder; another dataset's encoder is refused.
+
+    ``use_features`` keeps only these features active; ``feature_specs`` overrides fields of a feature's spec.
+    """
     state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
     if state["dataset_id"] != dataset_id:
         raise ValueError(f"encoder belongs to dataset {state['dataset_id']!r}, not {dataset_id!r}")
+    specs = []
+    for s in state["specs"]:
+        s = {**s, **(feature_specs or {}).get(s["name"], {})}
+        if use_features is not None and s["name"] not in use_features:
+            s["active"] = False
+        specs.append(FeatureSpec(**s))
+    unknown = {*(use_features or ()), *(feature_specs or {})} - {s.name for s in specs}
+    if unknown:
+        raise ValueError(f"the stored encoder has no features {sorted(unknown)}")
     return FittedEncoder(
         dataset_id,
-        [FeatureSpec(**s) for s in state["specs"]],
+        specs,
         [LabelSpec(**x) for x in state["labels"]],
         spark.read.parquet(f"{path}/vocab"),
         {k: voc.VocabStats(**{**v, "hot": tuple(v["hot"])}) for k, v in state["stats"].items()},
@@ -288,10 +316,20 @@ def _fit_vocab(
         return out
 
     vocab = all_of(owners)
-    # Shared vocabularies grow in spec order, as each later feature may add tokens.
-    for s in sharers:
-        own = all_of([s])
-        vocab = voc.merge_vocab(vocab, own, s.share_embedding)
+    if not sharers:
+        return vocab
+    # Shared vocabularies grow in spec order, then token order: all sharers are numbered together.
+    by_name = {s.name: s for s in owners}
+    found = all_of(sharers).where(~F.col("token").isin(voc.PAD, voc.OOV))
+    places = {s.name: F.struct(F.lit(s.share_embedding).alias("owner"), F.lit(i).alias("place")) for i, s in enumerate(sharers)}
+    where = F.create_map(*[x for n, place in places.items() for x in (F.lit(n), place)])[F.col("feature")]
+    tokens = found.groupBy(where["owner"].alias("feature"), "token").agg(F.sum("cnt").alias("cnt"), F.min(where["place"]).alias("_place"))
+    own_ids = [n for n, s in by_name.items() if not s.remap]
+    numbered = tokens.where(~F.col("feature").isin(*own_ids)) if own_ids else tokens
+    if len(own_ids) < len(by_name):
+        vocab = voc.extend_vocab(vocab, numbered, ["_place", "token"])
+    if own_ids:
+        vocab = voc.add_own_ids(vocab, tokens.where(F.col("feature").isin(*own_ids)))
     return vocab
 
 
@@ -360,7 +398,3 @@ def pretrained_matrix(fitted: FittedEncoder, feature: str, pretrained: DataFrame
     spec = next(s for s in fitted.specs if s.name == feature)
     mine = fitted.vocab.where(F.col("feature") == fitted.owner(spec))
     return enc.align_pretrained(mine, pretrained, dim, spec.freeze_emb)
-
-
-def with_specs(fitted: FittedEncoder, specs: Sequence[FeatureSpec]) -> FittedEncoder:
-    return replace(fitted, specs=list(specs))

@@ -18,6 +18,7 @@ from adloom.functions.scalars import hash_probability
 from adloom.operators.joins import fits_broadcast
 from adloom.operators.metrics import curve_metrics, evaluate
 from adloom.plans.submission import positive_class
+from adloom.session import materialize
 
 ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "logistic": LogisticRegression, "fm": FMClassifier, "mlp": MultilayerPerceptronClassifier,
@@ -121,7 +122,8 @@ def category_rate_baseline(train: DataFrame, df: DataFrame, key: str, category:
     """Smoothed click rate of the row's category: (clicks + prior · rate) / (rows + prior)."""
     overall = train.agg(F.avg(F.col(label).cast("double"))).scalar()
     rates = train.groupBy(category).agg(F.sum(F.col(label).cast("double")).alias("_c"), F.count(F.lit(1)).alias("_n"))
-    small = fits_broadcast(rates, 64)
+    rates = materialize(rates, "rates")
+    small = fits_broadcast(rates)
     joined = df.select(key, category).join(F.broadcast(rates) if small else rates, category, "left")
     smoothed = (F.coalesce("_c", F.lit(0.0)) + overall * prior_rows) / (F.coalesce("_n", F.lit(0)) + prior_rows)
     return joined.select(key, smoothed.alias(out))

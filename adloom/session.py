@@ -65,10 +65,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables this application wrote for itself; call it when their results are stored."""
-    fs, where = _file_system(spark, session_dir(spark))
-    fs.delete(where, True)
+    remove_path(spark, session_dir(spark))
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

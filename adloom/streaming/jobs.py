@@ -17,6 +17,7 @@ from adloom.operators.metrics import evaluate
 from adloom.operators.ranking import with_rank
 from adloom.operators.vocab import with_reserved
 from adloom.plans.encoder import FittedEncoder
+from adloom.session import remove_path
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 100, pattern: str | None = None) -> DataFrame:
@@ -28,17 +29,24 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_
 
 
 def transform_stream(stream: DataFrame, fitted: FittedEncoder, out: str, checkpoint: str, keep: Sequence[str] = ()) -> StreamingQuery:
-    """Encode arriving rows with a fitted encoder (stateless stream-static lookups) into Parquet."""
-    encoded = fitted.transform(stream, keep=keep)
-    return encoded.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Encode arriving rows with a fitted encoder into Parquet, one folder ``batch=…`` per micro-batch.
+
+    Each micro-batch is encoded by the batch plan, so vocabularies of any size work; a replayed one rewrites its folder.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        fitted.transform(batch, keep=keep).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
 
 
 def count_stream(stream: DataFrame, key: str, value: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Running count, minimum and maximum per key; ``out`` always holds the latest complete table."""
+    """Running count, minimum and maximum per key; ``out`` holds the latest complete table and the one before it."""
     agg = stream.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"), F.min(value).alias("min_value"), F.max(value).alias("max_value"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        remove_path(batch.sparkSession, f"{out}/batch={batch_id - 2}")
 
     return agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
 
@@ -54,8 +62,8 @@ def vocab_stream(stream: DataFrame, column: str, order: str, out: str, checkpoin
     """A vocabulary that grows as batches arrive; read it with :func:`growing_vocab`.
 
     The first batch is numbered in token order; tokens new in a later batch follow by their smallest
-    ``order`` value. Each batch appends only its new tokens, as its own folder: a replayed batch sees
-    the folders before it and rewrites the same one.
+    ``order`` value. Each batch appends its tokens with their counts, as its own folder, known ones under
+    the id they have: a replayed batch sees the folders before it and rewrites the same one.
     """
 
     def grow(batch: DataFrame, batch_id: int) -> None:
@@ -67,16 +75,21 @@ def vocab_stream(stream: DataFrame, column: str, order: str, out: str, checkpoin
         if batch_id > 0:
             before = spark.read.parquet(out).where(F.col("batch") < batch_id)
             last = before.agg(F.max("idx")).first()[0] or 0
-            tokens = anti_join(tokens, before, ["token"])
+            ids = before.groupBy("token").agg(F.min("idx").alias("idx"))
+            known = tokens.join(ids, "token").select("token", "idx", "cnt")
+            tokens = anti_join(tokens, ids, ["token"])
         fresh = with_rank(tokens, ["token"] if batch_id == 0 else ["_o", "token"], name="idx")
-        fresh.select("token", (F.col("idx") + last).alias("idx"), "cnt").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        rows = fresh.select("token", (F.col("idx") + last).alias("idx"), "cnt")
+        rows = rows if batch_id == 0 else rows.unionByName(known)
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(grow).start()
 
 
 def growing_vocab(spark: SparkSession, out: str, feature: str) -> DataFrame:
     """The vocabulary gathered so far, with its reserved ids: (feature, token, idx, cnt)."""
-    tokens = spark.read.parquet(out).select(F.lit(feature).alias("feature"), "token", "idx", "cnt")
+    seen = spark.read.parquet(out).groupBy("token", "idx").agg(F.sum("cnt").alias("cnt"))
+    tokens = seen.select(F.lit(feature).alias("feature"), "token", "idx", "cnt")
     return with_reserved(tokens, tokens.groupBy("feature").agg(F.max("idx").alias("last")), [feature])
 
 

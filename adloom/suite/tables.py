@@ -193,8 +193,9 @@ def _(spark, sf):
 @query("srt_shuffle", f"SELECT o_orderkey, row_number() OVER (ORDER BY {md5_sql('o_orderkey', 42 * 1000003 + 1)}, o_orderkey) AS rank FROM orders")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey")
-    hashed = orders.withColumn("_h", scalars.md5_key("o_orderkey", 42 * 1_000_003 + 1))
-    return with_rank(hashed, ["_h", "o_orderkey"]).select("o_orderkey", "rank")
+    path = scratch_path(spark, "shuffled")
+    sampling.shuffle_rows(orders, "o_orderkey", epoch=1).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    return with_rank(spark.read.parquet(path), ["place"]).select("o_orderkey", "rank")
 
 
 # ---- projections and filters -------------------------------------------------------------------
@@ -291,7 +292,7 @@ SELECT p_partkey, CASE WHEN p_name IN (SELECT p_name FROM kept) THEN p_name ELSE
 def _(spark, sf):
     part = table(spark, sf, "part")
     kept = clean.frequent_values(part, "p_name", 50)
-    return clean.mark_rare(part.select("p_partkey", "p_name"), "p_name", kept, "name_or_rare", fits_broadcast(kept, 64)).select("p_partkey", "name_or_rare")
+    return clean.mark_rare(part.select("p_partkey", "p_name"), "p_name", kept, "name_or_rare", fits_broadcast(kept)).select("p_partkey", "name_or_rare")
 
 
 @query("cst_clip", f"WITH {IMP} SELECT id, greatest(0.001, least(0.999, score))::DOUBLE AS p FROM imp")

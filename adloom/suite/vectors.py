@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adloom.operators import vectors as vec
+from adloom.operators.metrics import auc as auc_of
 from adloom.operators.sampling import hash_split
 from adloom.plans import models, submission
 from adloom.session import materialize, scratch_path
@@ -275,36 +276,50 @@ def _trained(spark, sf, kind, **params):
     return coded, model
 
 
-@query("ml_lr")
+_TEST_SPLIT = _table_sql("SELECT id, CAST(value > 0.2 AS INTEGER) AS clicked, 1 AS in_range, 1 AS separates FROM enc WHERE split = 'test'")
+
+
+def _facts(scored):
+    """What holds of any sound model here: probabilities for all rows, and an AUC above 0.9 for a separable label."""
+    scored = materialize(scored.select("id", F.col("clicked").cast("int").alias("clicked"), "score"), "scored")
+    auc = auc_of(scored, "clicked", "score").scalar()
+    return scored.select("id", "clicked", F.col("score").between(0, 1).cast("int").alias("in_range"), (auc > 0.9).cast("int").alias("separates"))
+
+
+@query("ml_lr", _TEST_SPLIT)
 def _(spark, sf):
     coded, model = _trained(spark, sf, "logistic", maxIter=20)
-    return models.score(model, coded.where("split = 'test'")).select("id", "clicked", "score")
+    return _facts(models.score(model, coded.where("split = 'test'")))
 
 
-@query("ml_fm")
+@query("ml_fm", _TEST_SPLIT)
 def _(spark, sf):
-    coded, model = _trained(spark, sf, "fm", maxIter=20, factorSize=4, seed=7, stepSize=0.05)
-    return models.score(model, coded.where("split = 'test'")).select("id", "clicked", "score")
+    coded, model = _trained(spark, sf, "fm", maxIter=200, factorSize=4, seed=7, stepSize=0.5)
+    return _facts(models.score(model, coded.where("split = 'test'")))
 
 
-@query("ml_mlp")
+@query("ml_mlp", _TEST_SPLIT)
 def _(spark, sf):
     coded, model = _trained(spark, sf, "mlp", maxIter=20, seed=7, hidden=[8])
-    return models.score(model, coded.where("split = 'test'")).select("id", "clicked", "score")
+    return _facts(models.score(model, coded.where("split = 'test'")))
 
 
-@query("ml_evaluate")
+@query("ml_evaluate", "SELECT * FROM (VALUES ('AUC', 1), ('logloss', 1), ('gAUC', 1), ('MRR', 1)) t(metric, plausible)")
 def _(spark, sf):
+    """Each metric of the separable label lies where it has to: AUCs above 0.9, loss below that of a coin, MRR in (0, 1]."""
     coded, model = _trained(spark, sf, "logistic", maxIter=20)
-    return models.evaluate_model(model, coded.where("split = 'valid'"), ["AUC", "logloss", "gAUC", "MRR"], "clicked", "user_id", "id")
+    out = models.evaluate_model(model, coded.where("split = 'valid'"), ["AUC", "logloss", "gAUC", "MRR"], "clicked", "user_id", "id")
+    good = F.when(F.col("metric").isin("AUC", "gAUC"), F.col("value") > 0.9).when(F.col("metric") == "logloss", F.col("value") < 0.6932)
+    return out.select("metric", good.otherwise((F.col("value") > 0) & (F.col("value") <= 1)).cast("int").alias("plausible"))
 
 
-@query("ml_grid")
+@query("ml_grid", "SELECT 'elasticNetParam=' || e || ', regParam=' || r AS params, 1 AS plausible FROM (VALUES ('0.0'), ('1.0')) a(e), (VALUES ('0.0'), ('0.1')) b(r)")
 def _(spark, sf):
+    """Every combination once; each better than a coin, or at it where the penalty takes all weights."""
     coded, _ = _trained(spark, sf, "logistic", maxIter=5)
     grid = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]}
     found = models.grid_search(coded.where("split = 'train'"), ["hour"], ["value", "k"], "clicked", grid)
-    return models.grid_table(found, coded)
+    return models.grid_table(found, coded).select("params", F.col("metric").between(0.5, 1).cast("int").alias("plausible"))
 
 
 # ---- streams ---------------------------------------------------------------------------------------------
@@ -328,7 +343,7 @@ def _(spark, sf):
     path, schema = _staged(spark, sf)
     out = scratch_path(spark, "encoded")
     _run(jobs.transform_stream(jobs.file_stream(spark, path, schema, 1), fitted, out, scratch_path(spark, "ckpt"), ["id"]))
-    return spark.read.parquet(out).select("id", "event_type", "hour", "dow", r6("value").alias("value"), "clicked")
+    return spark.read.parquet(out).drop("batch").select("id", "event_type", "hour", "dow", r6("value").alias("value"), "clicked")
 
 
 @query("str_counts", f"WITH {IMP} SELECT event_type, count(*) AS cnt, min(value) AS min_value, max(value) AS max_value FROM imp GROUP BY 1")
