@@ -267,8 +267,10 @@ def exact_links(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndar
     out = np.zeros(len(a), bool)
     at = np.flatnonzero(fit)
     order = at[np.argsort(a[at], kind="stable")]
-    firsts = np.flatnonzero(np.r_[True, a[order][1:] != a[order][:-1]]) if len(order) else np.zeros(0, np.int64)
-    for s, e in zip(firsts.tolist(), [*firsts[1:].tolist(), len(order)], strict=True):
+    if not len(order):
+        return out
+    cuts = np.r_[np.flatnonzero(np.r_[True, a[order][1:] != a[order][:-1]]), len(order)].tolist()
+    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         mine = sets[a[order[s]]]
         for chunk in range(s, e, 256):
             rows = order[chunk : min(e, chunk + 256)]

@@ -94,3 +94,8 @@ def test_components(spark):
 def test_roots():
     a, b = np.array([5, 4, 3, 2, 8]), np.array([4, 3, 2, 1, 9])
     assert nj.roots(11, a, b).tolist() == [0, 1, 1, 1, 1, 1, 6, 7, 8, 8, 10]
+
+
+def test_pairs_of_unlike_sizes_only():
+    sets = [np.arange(10, dtype=np.uint64), np.arange(30, dtype=np.uint64)]
+    assert nj.exact_links(sets, np.array([0]), np.array([1])).tolist() == [False]
