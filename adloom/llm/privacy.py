@@ -89,8 +89,8 @@ def _luhn(digits: Column) -> Column:
 def _plausible(value: Column, kind: str) -> Column:
     """The check of a match."""
     if kind == "ip":
-        part = lambda p: F.length(F.ltrim(F.lit("0"), p)) <= 3
-        small = lambda p: part(p) & (F.coalesce(F.when(part(p), F.concat(F.lit("0"), F.ltrim(F.lit("0"), p)).cast("int")), F.lit(999)) <= 255)
+        part = lambda p: F.length(F.ltrim(p, F.lit("0"))) <= 3
+        small = lambda p: part(p) & (F.coalesce(F.when(part(p), F.concat(F.lit("0"), F.ltrim(p, F.lit("0"))).cast("int")), F.lit(999)) <= 255)
         return F.forall(F.split(value, r"\."), small)
     digits = _digits(value)
     if kind == "card":
