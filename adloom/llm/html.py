@@ -42,6 +42,7 @@ IMPLIED = {
     "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+IN_TABLE = frozenset("td th tr caption thead tbody tfoot colgroup".split())
 SCOPES = frozenset("table td th caption html template object".split())
 
 
@@ -92,7 +93,7 @@ def build(page: str) -> Node:
             if tag == "br":
                 stack[-1].children.append(Node("br"))
             elif tag not in ("html", "body"):
-                close({tag}, {"table"} if tag in ("td", "th", "tr", "caption") else SCOPES - {tag}, innermost=True)
+                close({tag}, frozenset() if tag == "table" else {"table"} if tag in IN_TABLE else SCOPES, innermost=True)
             continue
         if tag in ENDS_P:
             close({"p"}, SCOPES | {"button"})
