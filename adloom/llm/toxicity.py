@@ -1,12 +1,12 @@
 """Toxic passages by maximum-scoring segments.
 
-A token's score is its log-odds of occurring in toxic and in other labelled texts under a Dirichlet prior whose means are its
-share of both; tokens whose log-odds are not surely raised lower a sum a little. Each word is seen as itself and as its leading four to eight letters; the form that is surest, by log-odds over
-standard error, speaks for the word. Sums of scores over a segment rise only where toxic words lie close; one scan of linear
-time finds every segment of maximal sum. A segment is significant if sums as high are rare in clean texts of the same length:
-the largest sum of a clean text follows an extreme-value law, whose rate and size are fitted on the clean texts of the sample.
-The score of a text is one minus the chance that a clean text of its length holds a segment as high, set to be 0.5 where the
-fitted texts are best parted.
+A token's score is its log-odds of occurring in toxic and in other labelled texts, under a Dirichlet prior whose means are its
+share of both; tokens whose rate is not surely raised lower a sum a little. Each word is seen as itself and as its leading four
+to eight letters; of the forms whose rates surely differ, by likelihood ratio, the one of highest log-odds speaks for the word.
+Sums of scores rise only where toxic words lie close; one scan of linear time finds every segment of maximal sum. A segment is
+significant if sums as high are rare in clean texts of the same length: the largest sum of a clean text follows an extreme-value
+law, whose rate and size are fitted on the clean texts of the sample. The score of a text is one minus the chance that a clean
+text of its length holds a segment as high, set to be 0.5 where the fitted texts are best parted.
 
 Fitted on at most about ``per_label`` texts of each label (see ``fitting.label_sample``). Null and empty texts hold no
 segment and score as the lowest.
@@ -30,7 +30,7 @@ from adloom.session import materialize
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = range(4, 9)
 PRIOR = 20.0  # weight of the prior, in texts
-SURE = 4.0  # standard errors from which a form's log-odds count as raised
+SURE = 4.5  # root of the likelihood ratio from which a form's log-odds count as raised
 DRIFT = -0.05  # score of a word that no form speaks for
 KEEP = 200_000  # forms kept at most, the surest first
 SCAN = 1 << 20  # words scored at once
@@ -47,11 +47,19 @@ def forms(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in STEMS if len(word) >= n)]
 
 
-def log_odds(n1: np.ndarray, n0: np.ndarray, t1: float, t0: float) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds under the prior, and their standard errors."""
+def log_odds(n1: np.ndarray, n0: np.ndarray, t1: float, t0: float) -> np.ndarray:
+    """Log-odds under the prior."""
     prior = PRIOR * (n1 + n0) / (t1 + t0)
     odds = lambda n, t: np.log((n + prior) / np.maximum(t + PRIOR - n - prior, 0.5))
-    return odds(n1, t1) - odds(n0, t0), np.sqrt(1 / (n1 + prior) + 1 / (n0 + prior))
+    return odds(n1, t1) - odds(n0, t0)
+
+
+def sureness(n1: np.ndarray, n0: np.ndarray, t1: float, t0: float) -> np.ndarray:
+    """Root of the likelihood ratio between own and equal rates, negative where toxic texts have the lower rate."""
+    expected = (n1 + n0) * t1 / (t1 + t0)
+    part = lambda n, e: n * np.log(np.maximum(n, 1e-9) / e)
+    ratio = 2 * (part(n1, expected) + part(n0, n1 + n0 - expected))
+    return np.sign(n1 - expected) * np.sqrt(np.maximum(ratio, 0))
 
 
 def segments(at: np.ndarray, gains: np.ndarray, base: np.ndarray) -> list[tuple[int, int, float]]:
@@ -133,8 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     if len(counts):
         totals = dict(sample.groupBy(label).count().collect())
         n1, n0 = counts["n1"].to_numpy(float), counts["n0"].to_numpy(float)
-        odds, error = log_odds(n1, n0, totals.get(1, 0) + 1.0, totals.get(0, 0) + 1.0)
-        sure = odds / error
+        t1, t0 = totals.get(1, 0) + 1.0, totals.get(0, 0) + 1.0
+        odds, sure = log_odds(n1, n0, t1, t0), sureness(n1, n0, t1, t0)
         best = sorted(np.flatnonzero(sure >= SURE), key=lambda i: (-sure[i], counts["form"][i]))[:KEEP]
         weights = {counts["form"][i]: float(odds[i]) for i in best}
     tops = highest(sample, text, label, weights)
