@@ -202,35 +202,41 @@ def look_up(pairs: list[tuple], hot: np.ndarray, shard: int, shards: int) -> lis
         target = pw[pair[gone]]
         before = np.where(common[word[pair[gone]]], at[word[pair[gone]]], 255).astype(np.uint8)
         to = shard_of(target, shards)
-        by = np.lexsort((to, of[gone]))
+        by = np.lexsort((of[gone], to))
         gone, target, before, to = gone[by], target[by], before[by], to[by]
-        cut = np.r_[runs(of[gone] * shards + to), len(gone)]
+        cut = np.r_[runs(to), len(gone)]
         for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            out.append(row(BACK, int(to[s]), pairs[of[gone[s]]][4], narrow(target[s:e]), doc[gone[s:e]].astype("<u2"), before[s:e]))
+            begin = runs(of[gone[s:e]])
+            from_ = np.array([pairs[k][4] for k in of[gone[s:e]][begin].tolist()], "<i8")
+            length = np.diff(np.r_[begin, e - s]).astype("<u4")
+            out.append(row(BACK, int(to[s]), 0, narrow(target[s:e]), doc[gone[s:e]].astype("<u2"), before[s:e], from_, length))
     return out
 
 
 def fall_back(words: tuple | None, back: list[tuple], hot: np.ndarray, totals: np.ndarray, n: int, v: int) -> list[tuple]:
-    """log10 P(w) of pairs that fell back, plus log10(D s(u)) where the word before is common."""
+    """log10 P(w) of pairs that fell back, plus log10(D s(u)) where the word before is common: sums per slice and document."""
     level, counts = (EliasFano.load(words[0]), np.frombuffer(words[1], "<i8")) if words else (None, np.zeros(0, np.int64))
     unknown = np.log10(D * max(1, v) / max(1, n)) if v else 0.0
     extra = np.r_[np.log10(np.maximum(D * totals[:, 1], 1e-300)), np.zeros(256 - len(totals))]
     extra[: len(totals)][totals[:, 0] == 0] = 0.0
-    out = []
-    for target, doc, before, slice_ in back:
-        kinds, which = np.unique(widen(target), return_inverse=True)
-        c = np.zeros(len(kinds))
-        if level is not None and level.n:
-            at = level.find(kinds)
-            c[at >= 0] = counts[at[at >= 0]]
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, kinds), len(hot) - 1)
-            c = np.where(hot[at] == kinds, totals[at, 0], c)
-        log = np.where(c > 0, np.log10(np.maximum(c - D, 1e-9) / max(1, n)), unknown)[which]
-        log = log + extra[np.frombuffer(before, np.uint8)]
-        docs, own = np.unique(np.frombuffer(doc, "<u2"), return_inverse=True)
-        out.append(row(SUMS, 0, slice_, docs.astype("<u2"), b"", b"", np.bincount(own, weights=log).astype("<f4")))
-    return out
+    kinds, which = np.unique(np.concatenate([widen(r[0]) for r in back]), return_inverse=True)
+    doc, before = (np.concatenate([np.frombuffer(r[k], t) for r in back]) for k, t in ((1, "<u2"), (2, np.uint8)))
+    slice_ = np.concatenate([np.repeat(np.frombuffer(r[3], "<i8"), np.frombuffer(r[4], "<u4")) for r in back])
+    c = np.zeros(len(kinds))
+    if level is not None and level.n:
+        at = level.find(kinds)
+        c[at >= 0] = counts[at[at >= 0]]
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, kinds), len(hot) - 1)
+        c = np.where(hot[at] == kinds, totals[at, 0], c)
+    log = np.where(c > 0, np.log10(np.maximum(c - D, 1e-9) / max(1, n)), unknown)[which] + extra[before]
+    by = np.lexsort((doc, slice_))
+    doc, slice_, log = doc[by], slice_[by], log[by]
+    group = np.flatnonzero(np.r_[True, (slice_[1:] != slice_[:-1]) | (doc[1:] != doc[:-1])])
+    sums = np.add.reduceat(log, group).astype("<f4")
+    cut = np.r_[runs(slice_[group]), len(group)]
+    ends = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+    return [row(SUMS, 0, int(slice_[group[s]]), doc[group[s:e]].astype("<u2"), b"", b"", sums[s:e]) for s, e in ends]
 
 
 def gather(docs_row: tuple, sums: list[tuple], totals: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
@@ -306,16 +312,16 @@ def score(docs: DataFrame, train: str, text: str = "text", keep: list[str] | Non
     totals, n, v = _totals(counted, hot)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: tuple | None = None
+        words, back = None, []
         for batch in batches:
-            back = []
-            for kind, slice_, a, b, c in zip(*[batch.column(x).to_pylist() for x in ("kind", "slice", "a", "b", "c")], strict=True):
+            for kind, *parts in zip(*[batch.column(x).to_pylist() for x in ("kind", *PARTS)], strict=True):
                 if kind == WORDS:
-                    words = (a, b)
+                    words = (parts[0], parts[1])
                 else:
-                    back.append((a, b, c, slice_))
-            if back:
-                yield batch_of(fall_back(words, back, hot, totals, n, v))
+                    back.append(parts)
+        if back:
+            for part in _chunks(fall_back(words, back, hot, totals, n, v)):
+                yield batch_of(part)
 
     lower = _by_shard(one.where(F.col("kind").isin(WORDS, BACK)).drop("_keep"), shards, ["shard", "kind", "slice"], second, ROW)
     sums = one.where(F.col("kind").isin(DOCS, SUMS)).unionByName(lower, allowMissingColumns=True)
