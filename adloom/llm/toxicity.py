@@ -136,12 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     texts = docs.where(usable_text(text)).select(F.col(id_col).alias("_id"), F.col(text).alias(text))
     sample = texts.join(F.broadcast(ids), "_id").select(text, F.col("_label").alias(label)).dropDuplicates([text])
     sample = materialize(sample, "toxicity-sample")
-    counts = count_forms(sample, text, label).where("n0 + n1 >= 3").toPandas()  # bounded by the sample
+    totals = dict(sample.groupBy(label).count().collect())
+    t1, t0 = totals.get(1, 0) + 1.0, totals.get(0, 0) + 1.0
+    # Only forms with a raised rate can count, so only they come to the driver: bounded by the sample.
+    counts = count_forms(sample, text, label).where((F.col("n1") >= 3) & (F.col("n1") * t0 > F.col("n0") * t1)).toPandas()
     weights: dict[str, float] = {}
     if len(counts):
-        totals = dict(sample.groupBy(label).count().collect())
         n1, n0 = counts["n1"].to_numpy(float), counts["n0"].to_numpy(float)
-        t1, t0 = totals.get(1, 0) + 1.0, totals.get(0, 0) + 1.0
         odds, sure = log_odds(n1, n0, t1, t0), sureness(n1, n0, t1, t0)
         best = sorted(np.flatnonzero(sure >= SURE), key=lambda i: (-sure[i], counts["form"][i]))[:KEEP]
         weights = {counts["form"][i]: float(odds[i]) for i in best}
