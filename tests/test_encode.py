@@ -234,3 +234,56 @@ def test_result_rows(spark, tmp_path):
     writers.append_result(spark, path, "exp1", "demo", {"AUC": 0.6})
     writers.append_result(spark, path, "exp2", "demo", {"AUC": 0.7})
     assert {r["experiment"]: r["metrics"]["AUC"] for r in spark.read.parquet(path).collect()} == {"exp1": 0.6, "exp2": 0.7}
+
+
+def test_absent_columns(spark, data, fitted):
+    with pytest.raises(ValueError, match="lacks the feature columns"):
+        fitted.transform(data.drop(fitted.specs[0].name))
+    with pytest.raises(ValueError, match="lacks the feature columns"):
+        fitted.transform(plan.prepare(data, fitted.specs, fitted.labels).drop(fitted.specs[0].name), prepared=True)
+    label = fitted.labels[0].name
+    assert label not in fitted.transform(data.drop(label)).columns
+
+
+def test_shared_vocabulary_keeps_own_ids(spark):
+    df = spark.createDataFrame([("3", "5"), ("5", "9"), ("7", "11")], "a string, b string")
+    spec = [{"name": "a", "type": "categorical", "dtype": "str", "remap": False}, {"name": "b", "type": "categorical", "dtype": "str", "remap": False, "share_embedding": "a"}]
+    assert ids(plan.fit(df, spec, []).vocab) == {"3": 3, "5": 5, "7": 7, "9": 9, "11": 11, "__PAD__": 0, "__OOV__": 12}
+
+
+def test_encoder_refuses_function_normalizers_before_writing(spark, tmp_path):
+    from adloom.session import path_exists
+
+    df = spark.createDataFrame([(1.0,)], "x double")
+    fitted = plan.fit(df, [{"name": "x", "type": "numeric", "dtype": "float", "normalizer": lambda c: c * 2}], [])
+    with pytest.raises(ValueError, match="function normalizers"):
+        fitted.save(str(tmp_path / "enc"))
+    assert not path_exists(spark, str(tmp_path / "enc"))
+
+
+def test_interrupted_build_is_replaced(spark, data, tmp_path):
+    from adloom.plans import dataset
+
+    path = str(tmp_path / "set")
+    spec, label = [{"name": "v", "type": "numeric", "dtype": "float", "fill_na": 0}], {"name": "y", "dtype": "float"}
+    rows = spark.createDataFrame([(i, float(i), i % 2) for i in range(20)], "id long, v double, y int")
+    rows.limit(3).write.parquet(f"{path}/data/split=train")  # left by a run that broke off before its encoder was stored
+    dataset.build_dataset(rows, spec, label, path, "d", ["id"], valid_size=0.2, test_size=0.2)
+    assert dataset.open_dataset(spark, path, "d")[1].count() == 20
+
+
+def test_broadcast_is_measured(spark, monkeypatch):
+    from adloom.operators import joins
+
+    wide = spark.range(100).select("id", F.array_repeat(F.lit(0.5), 1000).alias("v"))
+    assert joins.fits_broadcast(wide)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 500_000)
+    assert not joins.fits_broadcast(wide) and joins.fits_broadcast(wide.select("id"))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 99)
+    assert not joins.fits_broadcast(wide.select("id"))
+
+
+def test_clip_keeps_missing_values(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (-1.0,), (2.0,)], "x double")
+    out = [r[0] for r in df.select(scalars.clip("x", 0.0, 1.0)).collect()]
+    assert out[0] is None and out[1] != out[1] and out[2:] == [0.0, 1.0]

@@ -54,3 +54,34 @@ def test_vocabulary_grows_in_arrival_order(spark, arriving, tmp_path):
     jobs.vocab_stream(jobs.file_stream(spark, path, schema), "c", "id", out, ckpt).awaitTermination()
     got = {r["token"]: r["idx"] for r in jobs.growing_vocab(spark, out, "c").collect()}
     assert got == {"__PAD__": 0, "c3": 1, "c4": 2, "c5": 3, "c6": 4, "c0": 5, "c1": 6, "__OOV__": 7}
+
+
+def test_counts_of_known_tokens_grow(spark, arriving, tmp_path):
+    path, drop = arriving
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for start, n in ((0, 3), (7, 2)):  # c0 c1 c2, then c0 c1 again
+        drop(start, n)
+        schema = spark.read.parquet(path).schema
+        jobs.vocab_stream(jobs.file_stream(spark, path, schema), "c", "id", out, ckpt).awaitTermination()
+    got = {r["token"]: (r["idx"], r["cnt"]) for r in jobs.growing_vocab(spark, out, "c").collect()}
+    assert got == {"__PAD__": (0, 0), "c0": (1, 2), "c1": (2, 2), "c2": (3, 1), "__OOV__": (4, 0)}
+
+
+def test_counters_keep_two_tables_at_most(spark, arriving, tmp_path):
+    path, drop = arriving
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for k in range(4):
+        drop(10 * k, 10)
+        schema = spark.read.parquet(path).schema
+        jobs.count_stream(jobs.file_stream(spark, path, schema), "c", "x", out, ckpt).awaitTermination()
+    assert jobs.latest(spark, out).groupBy().sum("cnt").first()[0] == 40
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+
+
+def test_streams_go_through_the_batch_plan(spark, arriving):
+    path, drop = arriving
+    drop(0, 5)
+    batch = spark.read.parquet(path)
+    fitted = plan.fit(batch, SPEC, LABEL)
+    with pytest.raises(ValueError, match="transform_stream"):
+        fitted.transform(jobs.file_stream(spark, path, batch.schema, 1))
