@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,12 +137,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every ordered pair of columns, from one pass over the table."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     if len(pairs) > WIDE_PAIRS:
-        # Too many aggregates for one generated method: the row's pairs become rows, combined map-side.
-        cells = F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-            for a, b in pairs
-        ])
-        half = df.select(F.explode(cells).alias("p")).select("p.*").groupBy("a", "b").agg(safe_corr("x", "y").alias("corr"))
+        half = _wide_correlation(df, columns)
         return half.unionByName(half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
     agg = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     entries = []
@@ -150,6 +147,40 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return agg.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
+# A variance below this share of the mean square is that of a constant.
+FLAT = 1e-12
+
+
+def _wide_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, corr) of every unordered pair: each task sums products of whole batches, one row a pair and task goes on.
+
+    Values are taken relative to the column's mean, which keeps the sums well conditioned.
+    """
+    means = df.agg(*[F.coalesce(F.avg(number(c)), F.lit(0.0)) for c in columns]).first()
+    shifted = df.select(*[(number(c) - F.lit(float(m))).alias(f"c{i}") for i, (c, m) in enumerate(zip(columns, means, strict=True))])
+    upper = np.triu_indices(len(columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]).astype(float)
+            held = ~np.isnan(x)
+            x, m = np.where(held, x, 0.0), held.astype(float)
+            one = x.T @ m, (x * x).T @ m
+            sums += np.stack([m.T @ m, one[0], one[0].T, one[1], one[1].T, x.T @ x])
+        data = [pa.array(upper[0]), pa.array(upper[1]), *(pa.array(s[upper]) for s in sums)]
+        yield pa.RecordBatch.from_arrays(data, names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = shifted.mapInArrow(run, "i long, j long, n double, x double, y double, xx double, yy double, xy double")
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    n = F.col("n")
+    var = lambda s, ss: F.col(ss) / n - (F.col(s) / n) ** 2
+    varies = (n > 0) & (var("x", "xx") > FLAT * F.col("xx") / n) & (var("y", "yy") > FLAT * F.col("yy") / n)
+    corr = (F.col("xy") / n - F.col("x") * F.col("y") / (n * n)) / F.sqrt(var("x", "xx") * var("y", "yy"))
+    names = F.array(*map(F.lit, columns))
+    return total.select(names[F.col("i").cast("int")].alias("a"), names[F.col("j").cast("int")].alias("b"), F.when(varies, corr).alias("corr"))
+
+
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Correlation of each column with the label, highest first."""
     agg = df.agg(*[safe_corr(c, label).alias(c) for c in columns])

@@ -160,3 +160,19 @@ def _(spark, sf):
     out = enc.pad_longest(d, "a", -1, "post")
     total = F.aggregate(F.filter("a", lambda x: x >= 0), F.lit(0).cast("bigint"), lambda s, x: s + x)
     return out.select("doc_id", F.size("a").alias("width"), F.size(F.filter("a", lambda x: x < 0)).alias("padded"), total.alias("total"))
+
+
+# Twelve columns, so more pairs than one aggregate takes; the derived ones have nulls and a constant among them.
+WIDE = {
+    **{c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey")},
+    "q2": "l_quantity * l_quantity", "net": "l_extendedprice * (1 - l_discount)", "part": "CASE WHEN l_linenumber <> 3 THEN l_quantity END",
+    "flat": "CASE WHEN l_linenumber = 1 THEN 7 END", "mix": "l_tax * 100 + l_linenumber",
+}
+WIDE_SQL = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items())
+
+
+@query("agg_corr_wide", f"WITH w AS (SELECT {WIDE_SQL} FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, " + ("NULL AS corr" if "flat" in (a, b) else s6(f"corr({a}, {b})", 4) + " AS corr FROM w") for a in WIDE for b in WIDE))
+def _(spark, sf):
+    wide = table(spark, sf, "lineitem").selectExpr(*[f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items()])
+    return prof.correlation_matrix(wide, list(WIDE)).withColumn("corr", r6("corr", 4))
