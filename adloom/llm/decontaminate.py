@@ -7,7 +7,7 @@ so holding any ``e + 1`` neighbours whole. Bands below the bound are passed over
 alignment inside the band gives the least number of edits between the item and any region there, and regions over the budget
 are dropped.
 
-``e`` is ``budget`` times ``n``, rounded down. Texts are compared in lower case with every run of white space as one blank;
+``e`` is ``budget`` times ``n``, rounded down, and no more than leaves the bound at one shared q-gram. Texts are compared in lower case with every run of white space as one blank;
 letters whose lower case is of another length stay as they are. Items shorter than ``q`` characters, and null texts on either
 side, match nothing. Equal items are reported each by its own id. Items are taken in blocks of at most ``BLOCK_CHARS``
 characters, each a pass over the documents with a broadcast of that size at most.
@@ -85,7 +85,7 @@ def index(rows: list[tuple[int, str]], q: int, budget: float) -> Items:
     place = np.concatenate([*(np.arange(n) for n in sizes), np.zeros(0, np.int64)]).astype(np.int64)[order]
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[flat >> np.uint64(64 - FILTER_BITS)] = True
-    edits = np.array([int(len(t) * budget) for t in texts], np.int64)
+    edits = np.array([max(0, min(int(len(t) * budget), len(t) // q - 1)) for t in texts], np.int64)
     return Items([i for i, _ in rows], texts, edits, flat[order], item, place, seen)
 
 

@@ -50,7 +50,6 @@ def test_finds_exactly_what_lies_within_the_budget():
             for i, x in items:
                 f = dc.fold(x)[0]
                 e = least_edits(folded, f)
-                # The bound says nothing where it is below one shared q-gram; there the filter asks for one.
                 if e <= int(len(f) * dc.BUDGET):
                     want[i] = e
             assert found == want
@@ -81,3 +80,15 @@ def test_odd_rows(spark, make, odd, monkeypatch):
         assert dc.remove(out[20].text, out[20].regions) == "before.  after"
     assert dc.search(make(rows).limit(0), benchmark).count() == 0
     assert dc.search(make(rows), benchmark.limit(0)).where("size(regions) > 0").count() == 0
+
+
+def test_short_items_lose_nothing():
+    items = [(n, "abcdefghijklmnopqrstuvwxyz0123456789"[:n]) for n in (11, 12, 20, 23, 24, 30)]
+    index = dc.index(items, dc.Q, 0.2)
+    assert index.edits.tolist() == [0, 0, 0, 0, 1, 1]
+    for n, t in items:
+        k = n // 2
+        edited = t[:k] + "#" + t[k + 1 :]
+        found = {r["item_id"] for r in dc.regions(f"xx {edited} yy", index, dc.Q)}
+        assert (n in found) == (n >= 24)
+        assert (n in {r["item_id"] for r in dc.regions(f"xx {t} yy", index, dc.Q)}) == (n >= dc.Q)
