@@ -41,7 +41,7 @@ from adloom.session import materialize, shuffle_partitions
 D = 0.75
 HASH_BITS = 48
 HOT = 200
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 10 << 20
 SLICE_BYTES = 8 << 20
 SLICE_ROWS = 1 << 15
 SHIFT = 12.0
