@@ -142,7 +142,11 @@ def encode_float_sequence(
     column: str | Column, sep: str, max_len: int, scaler: Scaler | Callable[[Column], Column] | None,
     padding: str = "pre", padding_value: float = -1.0,
 ) -> Column:
-    """Delimited numbers → scaled fixed-length array."""
+    """Delimited numbers → scaled fixed-length array.
+
+    The normaliser runs inside the array, so it must be a fitted scaler or a function of columns; Spark refuses Python
+    functions there.
+    """
     kept = take(split_tokens(column, sep), max_len, padding)
     numbers = F.transform(kept, lambda t: t.cast("double") if scaler is None else apply_normalizer(t.cast("double"), scaler))
     return pad(numbers, max_len, float(padding_value), padding)
