@@ -143,6 +143,9 @@ def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) ->
         (F.when(t["before"], F.col("start")).otherwise(F.col("end")) + t["at"]).alias("start"), t["size"].alias("size"),
     ).withColumn("end", F.col("start") + F.col("size"))
     joint = near.select("_row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    # Documents with the word beside any entity are a lower bound of n(t): words of everyday use fall out here, exactly.
+    beside = near.select("_row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("_least"))
+    joint = joint.join(beside, "term").where(F.col("n_et") >= GENERALISE * F.col("_least")).drop("_least")
     joint = materialize(joint, "pii-joint")
     n_e = spans.select("_row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     n_t = term_counts(docs, text, joint.select("term").distinct())
