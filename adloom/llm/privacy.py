@@ -4,7 +4,8 @@ Protected entities are e-mail addresses, IP addresses, card numbers and phone nu
 may give it away elsewhere: for each entity and word the corpus tells in how many documents they stand together, n(e, t), out of
 n(t) documents with the word, n(e) with the entity, and N in all. The disclosure of a word is p(e | t) = n(e, t) / n(t), its
 strength in bits log2(n(e, t) N / (n(e) n(t))). A word seen with the entity in ``SUPPORT`` documents at least, of ``BITS`` or more,
-is generalised from a disclosure of ``GENERALISE`` on and removed from ``REMOVE`` on.
+is generalised from a disclosure of ``GENERALISE`` on and removed from ``REMOVE`` on, by its highest disclosure and wherever it
+stands: in all documents, beside an entity or not.
 
 Counts are taken over all documents: words beside entities first, then only these words everywhere else, picked out by a bitmap
 of fixed size before anything is exploded. Null texts are empty texts; repeated rows are documents of their own.
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adloom.operators.joins import fits_broadcast
 from adloom.session import materialize
 
 SUPPORT = 2
@@ -27,6 +29,10 @@ REMOVE = 0.9
 # Characters beside an entity in which its two nearest words are looked for.
 NEAR = 64
 WORDS = 1 << 14  # 64-bit words of the bitmap
+# Occurrences gathered at a time within a text, which keeps its cost linear.
+RUN = 256
+# Parts of a hot word where the disclosing words are too many to broadcast.
+SALTS = 16
 
 LOCAL = "[A-Za-z0-9._%+-]"
 # In order of kind. Each: pattern, and a character without which a text holds none.
@@ -44,16 +50,10 @@ AFTER = [r"^(\P{L}*)(\p{L}{2,})", r"^(\P{L}*\p{L}+\P{L}+)(\p{L}{2,})"]
 
 
 def _terms(before: Column, after: Column) -> Column:
-    """Words beside a span: lower-cased, with their distance from its start (negative) or from its end."""
+    """Words beside a span, lower-cased."""
     b, a = F.right(before, F.lit(NEAR)), F.left(after, F.lit(NEAR))
-    found = []
-    for p in BEFORE:
-        word, rest = F.regexp_extract(b, p, 1), F.regexp_extract(b, p, 2)
-        found.append(F.struct(F.lower(word).alias("term"), (-F.length(word) - F.length(rest)).alias("at"), F.length(word).alias("size"), F.lit(True).alias("before")))
-    for p in AFTER:
-        gap, word = F.regexp_extract(a, p, 1), F.regexp_extract(a, p, 2)
-        found.append(F.struct(F.lower(word).alias("term"), F.length(gap).alias("at"), F.length(word).alias("size"), F.lit(False).alias("before")))
-    return F.filter(F.array(*found), lambda t: t["term"] != "")
+    found = [F.lower(F.regexp_extract(b, p, 1)) for p in BEFORE] + [F.lower(F.regexp_extract(a, p, 2)) for p in AFTER]
+    return F.filter(F.array(*found), lambda t: t != "")
 
 
 def _hits(text: Column, kind: str) -> Column:
@@ -100,12 +100,23 @@ def _plausible(value: Column, kind: str) -> Column:
     return F.lit(True)
 
 
-def find(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (``_row`` and ``keys``), spans (``_row, kind, start, end, entity, terms``) and nothing of the texts; all stored."""
+def _masked(text: Column) -> Column:
+    """The text with blanks in place of e-mail addresses, the only entities that hold letters; no place moves."""
+    pattern, needs = PATTERNS["email"]
+    both = F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+
+    def of(s: Column) -> Column:
+        return F.array_join(F.transform(s["p"], lambda p, i: F.concat(p, F.coalesce(F.repeat(F.lit(" "), F.length(F.get(s["m"], i))), F.lit("")))), "")
+
+    return F.when(F.contains(text, F.lit(needs)), F.transform(F.array(both), of)[0]).otherwise(text)
+
+
+def find(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows (``_row``, ``keys``, and ``_t``: the text without e-mail addresses) and spans (``_row, kind, start, end, entity, terms``); all stored."""
     body = F.coalesce(F.col(text), F.lit(""))
     narrow = docs.select(F.monotonically_increasing_id().alias("_row"), *keys, body.alias("_t"))
     hits = F.flatten(F.filter(F.array(*[_hits(F.col("_t"), k) for k in PATTERNS]), lambda h: h.isNotNull()))
-    rows = materialize(narrow.select("_row", *keys, hits.alias("_hits")), "pii-rows")
+    rows = materialize(narrow.select("_row", *keys, _masked(F.col("_t")).alias("_t"), hits.alias("_hits")), "pii-rows")
     flat = rows.where(F.size("_hits") > 0).select("_row", F.inline("_hits"))
     upto = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     placed = flat.where("terms is not null or size > 0").withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
@@ -116,33 +127,70 @@ def find(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFram
     return rows.drop("_hits"), materialize(spans, "pii-spans")
 
 
-def term_counts(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """Number of documents that hold each of ``terms`` (a column ``term`` without repeats)."""
-    spark = docs.sparkSession
+def _bitmap(terms: DataFrame) -> DataFrame:
+    """One row of fixed size, ``_bits``, that marks the words of ``terms`` (a column ``term``)."""
     slot = F.pmod(F.xxhash64("term"), F.lit(WORDS * 64))
     bits = terms.groupBy(F.floor(slot / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(term), 64) as int))")).alias("b"))
     words = dict(bits.collect())  # at most WORDS rows
-    table = spark.createDataFrame([([words.get(i, 0) for i in range(WORDS)],)], "_bits array<long>")
-    lower = F.lower(F.coalesce(F.col(text), F.lit("")))
-    tokens = F.array_distinct(F.split(lower, r"\P{L}+"))
+    return terms.sparkSession.createDataFrame([([words.get(i, 0) for i in range(WORDS)],)], "_bits array<long>")
 
-    def wanted(t: Column) -> Column:
-        at = F.pmod(F.xxhash64(t), F.lit(WORDS * 64))
-        return F.getbit(F.col("_bits")[F.floor(at / 64).cast("int")], F.pmod(at, F.lit(64)).cast("int"))
 
+def _wanted(t: Column) -> Column:
+    at = F.pmod(F.xxhash64(t), F.lit(WORDS * 64))
+    return F.getbit(F.col("_bits")[F.floor(at / 64).cast("int")], F.pmod(at, F.lit(64)).cast("int")) == 1
+
+
+def term_counts(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """Number of documents that hold each of ``terms`` (a column ``term`` without repeats)."""
+    lower = F.lower(F.coalesce(F.col(text), F.lit("")))
+    tokens = F.array_distinct(F.split(lower, r"\P{L}+"))
     # One row of fixed size joins every document: a broadcast constant.
-    held = docs.select(tokens.alias("_tokens")).join(F.broadcast(table)).select(F.explode(F.filter("_tokens", lambda t: wanted(t) == 1)).alias("term"))
+    held = docs.select(tokens.alias("_tokens")).join(F.broadcast(_bitmap(terms))).select(F.explode(F.filter("_tokens", _wanted)).alias("term"))
     return held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
 
 
-def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Spans of words beside entities, and of these the (entity, term) that disclose: with ``p`` and ``bits``."""
-    t = F.col("t")
-    near = spans.select("_row", "entity", "start", "end", F.explode("terms").alias("t")).select(
-        "_row", "entity", t["term"].alias("term"),
-        (F.when(t["before"], F.col("start")).otherwise(F.col("end")) + t["at"]).alias("start"), t["size"].alias("size"),
-    ).withColumn("end", F.col("start") + F.col("size"))
-    joint = near.select("_row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
+def _places(text: Column) -> Column:
+    """Places of the marked words of a text: ``term, start, size``. The pieces are bound once, not once a word."""
+    both = F.struct(F.split(text, r"\P{L}+", -1).alias("w"), F.regexp_extract_all(text, F.lit(r"\P{L}+"), F.lit(0)).alias("g"))
+    kind = "array<struct<term:string,start:int,size:int>>"
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("run"), F.array().cast(f"array<{kind}>").alias("runs"))
+
+    def word(s: Column, w: Column, i: Column) -> Column:
+        return F.struct(F.lower(w).alias("term"), F.length(w).alias("size"), F.coalesce(F.length(F.get(s["g"], i)), F.lit(0)).alias("gap"), _wanted(F.lower(w)).alias("hit"))
+
+    def step(a: Column, x: Column) -> Column:
+        one = F.array(F.struct(x["term"].alias("term"), a["at"].alias("start"), x["size"].alias("size")))
+        full = F.size(a["run"]) >= RUN
+        run = F.when(x["hit"], F.when(full, one).otherwise(F.concat(a["run"], one))).otherwise(a["run"])
+        runs = F.when(x["hit"] & full, F.concat(a["runs"], F.array(a["run"]))).otherwise(a["runs"])
+        return F.struct((a["at"] + x["size"] + x["gap"]).alias("at"), run.alias("run"), runs.alias("runs"))
+
+    def of(s: Column) -> Column:
+        return F.aggregate(F.transform(s["w"], lambda w, i: word(s, w, i)), zero, step, lambda a: F.concat(F.flatten(a["runs"]), a["run"]))
+
+    return F.transform(F.array(both), of)[0]
+
+
+def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """Every place in ``rows`` (``_row``, ``_t``) of the words of ``terms`` (``term``, ``p``): ``_row, start, end, p``."""
+    tokens = F.transform(F.array_distinct(F.split(F.col("_t"), r"\P{L}+")), F.lower)
+    held = rows.select("_row", "_t").join(F.broadcast(_bitmap(terms))).where(F.exists(tokens, _wanted))
+    found = held.select("_row", F.inline(_places(F.col("_t"))))
+    if fits_broadcast(terms):
+        rated = found.join(F.broadcast(terms), "term")
+    else:
+        # A frequent word whose bit is another's goes to many tasks before it falls out.
+        part = F.pmod(F.xxhash64("_row", "start"), F.lit(SALTS)).cast("int")
+        parts = terms.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rated = found.withColumn("_part", part).join(parts, ["term", "_part"])
+    start = F.col("start").cast("long")
+    return rated.select("_row", start.alias("start"), (start + F.col("size")).alias("end"), "p")
+
+
+def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Of the words beside entities the (entity, term) that disclose: with ``p`` and ``bits``."""
+    near = spans.select("_row", "entity", F.explode("terms").alias("term"))
+    joint = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
     # Documents with the word beside any entity are a lower bound of n(t): words of everyday use fall out here, exactly.
     beside = near.select("_row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("_least"))
     joint = joint.join(beside, "term").where(F.col("n_et") >= GENERALISE * F.col("_least")).drop("_least")
@@ -154,16 +202,16 @@ def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) ->
         "entity", "term", (F.col("n_et") / F.col("n_t")).alias("p"),
         F.log2(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t"))).alias("bits"),
     )
-    return near, materialize(rated.where((F.col("p") >= GENERALISE) & (F.col("bits") >= BITS)), "pii-disclosing")
+    return materialize(rated.where((F.col("p") >= GENERALISE) & (F.col("bits") >= BITS)), "pii-disclosing")
 
 
 def all_spans(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows as in ``find``, and every span: ``_row, kind, start, end, p`` (the disclosure of a term, null for an entity)."""
     rows, spans = find(docs, keys, text)
-    near, rated = disclosing(docs, text, rows, spans)
-    terms = near.join(rated, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max("p").alias("p"))
+    rated = disclosing(docs, text, rows, spans)
+    terms = occurrences(rows, materialize(rated.groupBy("term").agg(F.max("p").alias("p")), "pii-terms"))
     base = spans.select("_row", "kind", "start", "end", F.lit(None).cast("double").alias("p"))
-    return rows, base.unionByName(terms.withColumn("kind", F.lit(KINDS.index("term"))))
+    return rows.drop("_t"), base.unionByName(terms.withColumn("kind", F.lit(KINDS.index("term"))))
 
 
 def _joined(spans: Column) -> Column:

@@ -84,3 +84,17 @@ def test_sanitised_texts(spark, make):
     assert got[900_000] == "zanzibar was never mentioned"
     two = privacy.sanitise(make([(1, None), (2, ""), (3, "call +1 234 567 8901 or 1.2.3.4 now"), (3, "call +1 234 567 8901 or 1.2.3.4 now"), (None, "a@b.cd")])).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in two) == [(0, "[EMAIL]"), (1, ""), (2, ""), (3, "call [PHONE] or [IP] now"), (3, "call [PHONE] or [IP] now")]
+
+
+def test_disclosing_words_go_wherever_they_stand(spark, make):
+    docs = [(i, "hello Zanzibar ann@x.org said hello and then once more ZANZIBAR\U0001f600 zanzibar") for i in range(9)]
+    docs += [(10 + i, "hello others of all kinds and then once more") for i in range(2600)]
+    docs += [(9000, "\U0001f600\u0130 zanzibar, zanzibars; zanzibar@y.org " + "zanzibar " * 700)]
+    out = {r.doc_id: r.spans.split(",") for r in privacy.report(make(docs)).collect()}
+    want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("zanzibar", docs[0][1].lower())}
+    assert len(want) == 3 and want <= set(out[0])
+    far = docs[-1][1]
+    words = [m.span() for m in re.finditer(r"(?<![^\W\d_])zanzibar(?![^\W\d_])", far) if far[m.end()] != "@"]
+    assert [s for s in out[9000] if s.startswith("term")] == [f"term:{a}:{b}" for a, b in words] and len(words) == 701
+    clean = {r.doc_id: r.text for r in privacy.sanitise(make(docs)).collect()}
+    assert not re.search(r"(?i)zanzibar(?!s)", clean[0] + clean[9000])
