@@ -1,14 +1,15 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-Protected entities are e-mail addresses, IP addresses, card numbers and phone numbers found by pattern. The words beside an entity
-may give it away elsewhere: for each entity and word the corpus tells in how many documents they stand together, n(e, t), out of
+Protected entities are e-mail addresses, IP addresses, card numbers and phone numbers found by pattern. The words of the
+documents that hold an entity may give it away elsewhere: for each entity and word the corpus tells how many documents hold both, n(e, t), out of
 n(t) documents with the word, n(e) with the entity, and N in all. The disclosure of a word is p(e | t) = n(e, t) / n(t), its
 strength in bits log2(n(e, t) N / (n(e) n(t))). A word seen with the entity in ``SUPPORT`` documents at least, of ``BITS`` or more,
 is generalised from a disclosure of ``GENERALISE`` on and removed from ``REMOVE`` on, by its highest disclosure and wherever it
 stands: in all documents, beside an entity or not.
 
-Counts are taken over all documents: words beside entities first, then only these words everywhere else, picked out by a bitmap
-of fixed size before anything is exploded. Null texts are empty texts; repeated rows are documents of their own.
+Words are runs of two letters or more outside entities. Counts are taken over all documents: words of documents with entities first,
+then, of these, only words that can still disclose one everywhere else, picked out by a bitmap of fixed size before anything is
+exploded. All bounds are exact: they drop no word that would have been generalised or removed. Null texts are empty texts; repeated rows are documents of their own.
 
 Base patterns run without retries: what a pattern matches and then fails its check is passed over. They are written with
 possessive repeats and look-behinds, which change no match but keep long runs of digits or letters linear.
@@ -26,8 +27,6 @@ SUPPORT = 2
 BITS = 8.0
 GENERALISE = 0.5
 REMOVE = 0.9
-# Characters beside an entity in which its two nearest words are looked for.
-NEAR = 64
 WORDS = 1 << 14  # 64-bit words of the bitmap
 # Occurrences gathered at a time within a text, which keeps its cost linear.
 RUN = 256
@@ -45,16 +44,6 @@ PATTERNS = {
 KINDS = [*PATTERNS, "term"]
 MARKS = {k: f"[{k.upper()}]" for k in KINDS}
 
-BEFORE = [r"(\p{L}{2,})(\P{L}*)$", r"(\p{L}{2,})(\P{L}+\p{L}+\P{L}*)$"]
-AFTER = [r"^(\P{L}*)(\p{L}{2,})", r"^(\P{L}*\p{L}+\P{L}+)(\p{L}{2,})"]
-
-
-def _terms(before: Column, after: Column) -> Column:
-    """Words beside a span, lower-cased."""
-    b, a = F.right(before, F.lit(NEAR)), F.left(after, F.lit(NEAR))
-    found = [F.lower(F.regexp_extract(b, p, 1)) for p in BEFORE] + [F.lower(F.regexp_extract(a, p, 2)) for p in AFTER]
-    return F.filter(F.array(*found), lambda t: t != "")
-
 
 def _hits(text: Column, kind: str) -> Column:
     """Matches of one pattern with the length of the text between them; the pieces are bound once, not once a match."""
@@ -64,7 +53,7 @@ def _hits(text: Column, kind: str) -> Column:
     def of(s: Column) -> Column:
         return F.transform(s["m"], lambda m, i: F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), F.length(s["p"][i]).alias("gap"), F.length(m).alias("size"), m.alias("value"),
-            F.when(_plausible(m, kind), _terms(s["p"][i], s["p"][i + 1])).alias("terms"),
+            _plausible(m, kind).alias("ok"),
         ))
 
     hits = F.flatten(F.transform(F.array(both), of))
@@ -112,17 +101,17 @@ def _masked(text: Column) -> Column:
 
 
 def find(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Rows (``_row``, ``keys``, and ``_t``: the text without e-mail addresses) and spans (``_row, kind, start, end, entity, terms``); all stored."""
+    """Rows (``_row``, ``keys``, and ``_t``: the text without e-mail addresses) and spans (``_row, kind, start, end, entity``); all stored."""
     body = F.coalesce(F.col(text), F.lit(""))
     narrow = docs.select(F.monotonically_increasing_id().alias("_row"), *keys, body.alias("_t"))
     hits = F.flatten(F.filter(F.array(*[_hits(F.col("_t"), k) for k in PATTERNS]), lambda h: h.isNotNull()))
     rows = materialize(narrow.select("_row", *keys, _masked(F.col("_t")).alias("_t"), hits.alias("_hits")), "pii-rows")
     flat = rows.where(F.size("_hits") > 0).select("_row", F.inline("_hits"))
     upto = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    placed = flat.where("terms is not null or size > 0").withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
-    spans = placed.where("terms is not null").select(
+    placed = flat.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
+    spans = placed.where("ok").select(
         "_row", "kind", (F.col("end") - F.col("size")).alias("start"), "end",
-        F.xxhash64("kind", F.when(F.col("kind") == 0, F.lower("value")).otherwise(_digits(F.col("value")))).alias("entity"), "terms",
+        F.xxhash64("kind", F.when(F.col("kind") == 0, F.lower("value")).otherwise(_digits(F.col("value")))).alias("entity"),
     )
     return rows.drop("_hits"), materialize(spans, "pii-spans")
 
@@ -140,12 +129,26 @@ def _wanted(t: Column) -> Column:
     return F.getbit(F.col("_bits")[F.floor(at / 64).cast("int")], F.pmod(at, F.lit(64)).cast("int")) == 1
 
 
-def term_counts(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """Number of documents that hold each of ``terms`` (a column ``term`` without repeats)."""
-    lower = F.lower(F.coalesce(F.col(text), F.lit("")))
-    tokens = F.array_distinct(F.split(lower, r"\P{L}+"))
+def _words(text: Column) -> Column:
+    """Distinct words of a masked text, lower-cased."""
+    long = F.filter(F.split(text, r"\P{L}+"), lambda w: F.length(w) >= 2)
+    return F.array_distinct(F.transform(F.array_distinct(long), F.lower))
+
+
+def _of_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """``found`` (``_row``, ``term`` and more) joined with ``terms`` by the word."""
+    if fits_broadcast(terms):
+        return found.join(F.broadcast(terms), "term")
+    # A frequent word whose bit is another's goes to many tasks before it falls out.
+    part = F.pmod(F.xxhash64(*found.columns), F.lit(SALTS)).cast("int")
+    parts = terms.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return found.withColumn("_part", part).join(parts, ["term", "_part"]).drop("_part")
+
+
+def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """Number of ``rows`` that hold each of ``terms`` (a column ``term`` without repeats)."""
     # One row of fixed size joins every document: a broadcast constant.
-    held = docs.select(tokens.alias("_tokens")).join(F.broadcast(_bitmap(terms))).select(F.explode(F.filter("_tokens", _wanted)).alias("term"))
+    held = rows.select(_words(F.col("_t")).alias("_tokens")).join(F.broadcast(_bitmap(terms))).select(F.explode(F.filter("_tokens", _wanted)).alias("term"))
     return held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
 
 
@@ -173,32 +176,32 @@ def _places(text: Column) -> Column:
 
 def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Every place in ``rows`` (``_row``, ``_t``) of the words of ``terms`` (``term``, ``p``): ``_row, start, end, p``."""
-    tokens = F.transform(F.array_distinct(F.split(F.col("_t"), r"\P{L}+")), F.lower)
-    held = rows.select("_row", "_t").join(F.broadcast(_bitmap(terms))).where(F.exists(tokens, _wanted))
-    found = held.select("_row", F.inline(_places(F.col("_t"))))
-    if fits_broadcast(terms):
-        rated = found.join(F.broadcast(terms), "term")
-    else:
-        # A frequent word whose bit is another's goes to many tasks before it falls out.
-        part = F.pmod(F.xxhash64("_row", "start"), F.lit(SALTS)).cast("int")
-        parts = terms.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rated = found.withColumn("_part", part).join(parts, ["term", "_part"])
+    held = rows.select("_row", "_t").join(F.broadcast(_bitmap(terms))).where(F.exists(_words(F.col("_t")), _wanted))
+    rated = _of_terms(held.select("_row", F.inline(_places(F.col("_t")))), terms)
     start = F.col("start").cast("long")
     return rated.select("_row", start.alias("start"), (start + F.col("size")).alias("end"), "p")
 
 
-def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """Of the words beside entities the (entity, term) that disclose: with ``p`` and ``bits``."""
-    near = spans.select("_row", "entity", F.explode("terms").alias("term"))
-    joint = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
-    # Documents with the word beside any entity are a lower bound of n(t): words of everyday use fall out here, exactly.
-    beside = near.select("_row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("_least"))
-    joint = joint.join(beside, "term").where(F.col("n_et") >= GENERALISE * F.col("_least")).drop("_least")
-    joint = materialize(joint, "pii-joint")
-    n_e = spans.select("_row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n_t = term_counts(docs, text, joint.select("term").distinct())
+def disclosing(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Of the entities and words of the same documents those (entity, term) that disclose: with ``p`` and ``bits``."""
     total = rows.count()
-    rated = joint.join(n_e, "entity").join(n_t, "term").select(
+    # n(e, t) is n(e) and n(t) at most, so neither may be above this share of all documents; room for rounding.
+    most = total / 2**BITS * (1 + 1e-9)
+    held = spans.select("_row", "entity").distinct()
+    n_e = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e").between(SUPPORT, most))
+    held = materialize(held.join(n_e, "entity"), "pii-held")
+    top = held.groupBy("_row").agg(F.max("n_e").alias("_top"))
+    texts = rows.join(top, "_row").select("_row", "_top", _words(F.col("_t")).alias("_tokens"))
+    # Documents with the word and any entity: a lower bound of n(t), an upper bound of n(e, t).
+    beside = texts.select("_top", F.explode("_tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("_least"), F.max("_top").alias("_top"))
+    beside = beside.where(F.col("_least").between(SUPPORT, most) & (F.col("_top") >= GENERALISE * F.col("_least")))
+    beside = materialize(beside, "pii-beside")
+    able = (F.col("n_t") <= most) & (F.least("_least", "_top") >= GENERALISE * F.col("n_t"))
+    n_t = materialize(term_counts(rows, beside.select("term")).join(beside, "term").where(able).select("term", "n_t"), "pii-able")
+    found = texts.join(F.broadcast(_bitmap(n_t.select("term")))).select("_row", F.explode(F.filter("_tokens", _wanted)).alias("term"))
+    pairs = _of_terms(found, n_t).join(held, "_row").where(F.col("n_e") >= GENERALISE * F.col("n_t"))
+    joint = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    rated = joint.select(
         "entity", "term", (F.col("n_et") / F.col("n_t")).alias("p"),
         F.log2(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t"))).alias("bits"),
     )
@@ -208,7 +211,7 @@ def disclosing(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) ->
 def all_spans(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows as in ``find``, and every span: ``_row, kind, start, end, p`` (the disclosure of a term, null for an entity)."""
     rows, spans = find(docs, keys, text)
-    rated = disclosing(docs, text, rows, spans)
+    rated = disclosing(rows, spans)
     terms = occurrences(rows, materialize(rated.groupBy("term").agg(F.max("p").alias("p")), "pii-terms"))
     base = spans.select("_row", "kind", "start", "end", F.lit(None).cast("double").alias("p"))
     return rows.drop("_t"), base.unionByName(terms.withColumn("kind", F.lit(KINDS.index("term"))))

@@ -1,6 +1,7 @@
 """Operator 10 against patterns and counts in plain code."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -98,3 +99,28 @@ def test_disclosing_words_go_wherever_they_stand(spark, make):
     assert [s for s in out[9000] if s.startswith("term")] == [f"term:{a}:{b}" for a, b in words] and len(words) == 701
     clean = {r.doc_id: r.text for r in privacy.sanitise(make(docs)).collect()}
     assert not re.search(r"(?i)zanzibar(?!s)", clean[0] + clean[9000])
+
+
+def test_words_anywhere_in_the_document_are_counted(spark, make):
+    rng = random.Random(8)
+    common, rare = [f"often{chr(97 + i)}" for i in range(20)], [f"rare{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(8)]
+    docs = [(i, " ".join(rng.choices(common, k=8))) for i in range(3000)]
+    for i in range(60):
+        who = f"p{i % 8}@mail.org and q{i % 5}@post.org" if i % 3 else f"p{i % 8}@mail.org"
+        words = rng.choices(rare[: 8 + i % 8 * 9], k=4)
+        docs.append((5000 + i, f"Jane Smith{chr(97 + i % 8)} can be reached " + " ".join(words) + " by mail if at all " + who))
+    docs += [(6000 + i, " ".join(rng.choices(rare, k=2))) for i in range(60)]
+    mail = re.compile(BASE["email"])
+    held = [({m.group() for m in mail.finditer(t)}, set(re.findall(r"[^\W\d_]{2,}", mail.sub(" ", t).lower()))) for _, t in docs]
+    n_e, n_t, n_et = {}, {}, {}
+    for es, ts in held:
+        for counts, keys in ((n_e, es), (n_t, ts), (n_et, [(e, t) for e in es for t in ts])):
+            for k in keys:
+                counts[k] = counts.get(k, 0) + 1
+    want = {t for (e, t), n in n_et.items() if n >= 2 and n / n_t[t] >= 0.5 and math.log2(n * len(docs) / (n_e[e] * n_t[t])) >= 8}
+    assert len(want) > 10 and "smitha" in want
+    for r in privacy.report(make(docs)).collect():
+        text = dict(docs)[r.doc_id]
+        masked = mail.sub(lambda m: " " * len(m.group()), text)
+        places = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W\d_]{2,}", masked) if m.group().lower() in want]
+        assert [s for s in r.spans.split(",") if s.startswith("term")] == places, text
