@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import bpe, decontaminate, fingerprint, html, langid, lm, ngram_join, privacy, toxicity, warc
+from adloom.llm import bpe, decontaminate, fingerprint, html, langid, lm, ngram_join, packing, privacy, runs, toxicity, warc, whitening
 from adloom.llm.common import remainder, table
 from adloom.session import materialize
 
@@ -119,6 +119,38 @@ def op10_privacy(spark: SparkSession, sf: str) -> DataFrame:
     return privacy.report(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words of every whole document; one document in ten is made periodic from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"), F.floor(h / 10).alias("g"))
+    cut = docs.where("h % 10 = 0").select("doc_id", "g", F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
+    cut = cut.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    # Words before a, then whole periods, then a part of one.
+    head, period, tail = F.slice("w", F.lit(1), F.expr("int(a)")), F.expr("slice(w, int(a) + 1, int(p))"), F.expr("slice(w, int(a) + 1, int((n - a) % p))")
+    looped = F.concat(head, F.flatten(F.array_repeat(period, F.expr("int((n - a) div p)"))), tail)
+    texts = docs.where("h % 10 <> 0").select("doc_id", "text").unionByName(cut.select("doc_id", F.array_join(looped, " ").alias("text")))
+    found = runs.find(texts)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("b"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", (-F.col("b.s")).alias("start"), "b.length", (-F.col("b.p")).alias("period"), F.expr("1000 * b.length div -b.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding's coordinates on the first components of the distinct ones, with exact deviations."""
+    found = whitening.whiten(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    each = F.inline(F.arrays_zip(F.transform("whitened", lambda _, i: i + 1).alias("component"), "whitened", "explained"))
+    return found.select("vec_id", "n", "deviation", "identity_error", each)
+
+
+@query
+def op13_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents' pieces of at most 2048 tokens, in as few sequences as the search finds."""
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def _record_sql(body: str) -> str:
     head = "'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')"
     return f"{head} || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen({body}) AS VARCHAR) || repeat(chr(13) || chr(10), 2) || {body} || repeat(chr(13) || chr(10), 2)"
