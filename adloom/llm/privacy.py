@@ -8,8 +8,9 @@ is generalised from a disclosure of ``GENERALISE`` on and removed from ``REMOVE`
 stands: in all documents, beside an entity or not.
 
 Words are runs of two letters or more outside entities. Counts are taken over all documents: words of documents with entities first,
-then, of these, only words that can still disclose one everywhere else, picked out by a bitmap of fixed size before anything is
-exploded. All bounds are exact: they drop no word that would have been generalised or removed. Null texts are empty texts; repeated rows are documents of their own.
+then, of these, only words that can still disclose one everywhere else, picked out inside the texts by a Bloom filter before anything
+is exploded. The filter grows with the number of words up to a fixed size; beyond it more words are exploded and fall out at the
+exact join. All bounds are exact: they drop no word that would have been generalised or removed. Null texts are empty texts; repeated rows are documents of their own.
 
 Base patterns run without retries: what a pattern matches and then fails its check is passed over. They are written with
 possessive repeats and look-behinds, which change no match but keep long runs of digits or letters linear.
@@ -27,7 +28,8 @@ SUPPORT = 2
 BITS = 8.0
 GENERALISE = 0.5
 REMOVE = 0.9
-WORDS = 1 << 14  # 64-bit words of the bitmap
+# The filter of words: bits for each word, their largest number, and the bits that one word sets.
+FILTER_BITS, MOST_BITS, HASHES = 64, 1 << 27, 3
 # Occurrences gathered at a time within a text, which keeps its cost linear.
 RUN = 256
 # Parts of a hot word where the disclosing words are too many to broadcast.
@@ -116,17 +118,38 @@ def find(docs: DataFrame, keys: list[str], text: str = "text") -> tuple[DataFram
     return rows.drop("_hits"), materialize(spans, "pii-spans")
 
 
-def _bitmap(terms: DataFrame) -> DataFrame:
-    """One row of fixed size, ``_bits``, that marks the words of ``terms`` (a column ``term``)."""
-    slot = F.pmod(F.xxhash64("term"), F.lit(WORDS * 64))
-    bits = terms.groupBy(F.floor(slot / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(term), 64) as int))")).alias("b"))
-    words = dict(bits.collect())  # at most WORDS rows
-    return terms.sparkSession.createDataFrame([([words.get(i, 0) for i in range(WORDS)],)], "_bits array<long>")
+def _places_of(term: Column, size: Column) -> list[Column]:
+    """The bits of a word in a filter of ``size`` bits, a power of two, from the two halves of one hash."""
+    h = F.xxhash64(term)
+    low, high = h.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(h, 32)
+    return [F.pmod(low + high * F.lit(k) if k else low, size) for k in range(HASHES)]
+
+
+def _bitmap(terms: DataFrame) -> Column:
+    """A filter that holds the words of ``terms`` (a column ``term`` without repeats), as a constant of the plan.
+
+    At most ``MOST_BITS`` / 64 numbers go through the driver's broadcast of the constant.
+    """
+    size = 64
+    wanted = terms.count() * FILTER_BITS
+    while size < min(wanted, MOST_BITS):
+        size *= 2
+    bit = F.explode(F.array(*_places_of(F.col("term"), F.lit(size)))).alias("bit")
+    bits = terms.select(bit).groupBy(F.shiftright("bit", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("b"))
+    # Words of 64 bits in order, absent ones zero.
+    whole = bits.unionByName(terms.sparkSession.range(size // 64).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("b")))
+    filled = whole.groupBy("w").agg(F.bit_or("b").alias("b"))
+    return materialize(filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits")), "pii-filter").scalar()
 
 
 def _wanted(t: Column) -> Column:
-    at = F.pmod(F.xxhash64(t), F.lit(WORDS * 64))
-    return F.getbit(F.col("_bits")[F.floor(at / 64).cast("int")], F.pmod(at, F.lit(64)).cast("int")) == 1
+    """Whether the filter in ``_bits`` may hold a word."""
+    size = F.size("_bits").cast("long") * 64
+    hit = lambda at: F.getbit(F.get(F.col("_bits"), F.shiftright(at, 6).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1
+    first, *others = [hit(at) for at in _places_of(t, size)]
+    for o in others:
+        first = first & o
+    return first
 
 
 def _words(text: Column) -> Column:
@@ -147,8 +170,7 @@ def _of_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
 
 def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Number of ``rows`` that hold each of ``terms`` (a column ``term`` without repeats)."""
-    # One row of fixed size joins every document: a broadcast constant.
-    held = rows.select(_words(F.col("_t")).alias("_tokens")).join(F.broadcast(_bitmap(terms))).select(F.explode(F.filter("_tokens", _wanted)).alias("term"))
+    held = rows.select(_words(F.col("_t")).alias("_tokens"), _bitmap(terms).alias("_bits")).select(F.explode(F.filter("_tokens", _wanted)).alias("term"))
     return held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
 
 
@@ -176,7 +198,7 @@ def _places(text: Column) -> Column:
 
 def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Every place in ``rows`` (``_row``, ``_t``) of the words of ``terms`` (``term``, ``p``): ``_row, start, end, p``."""
-    held = rows.select("_row", "_t").join(F.broadcast(_bitmap(terms))).where(F.exists(_words(F.col("_t")), _wanted))
+    held = rows.select("_row", "_t", _bitmap(terms).alias("_bits")).where(F.exists(_words(F.col("_t")), _wanted))
     rated = _of_terms(held.select("_row", F.inline(_places(F.col("_t")))), terms)
     start = F.col("start").cast("long")
     return rated.select("_row", start.alias("start"), (start + F.col("size")).alias("end"), "p")
@@ -198,7 +220,7 @@ def disclosing(rows: DataFrame, spans: DataFrame) -> DataFrame:
     beside = materialize(beside, "pii-beside")
     able = (F.col("n_t") <= most) & (F.least("_least", "_top") >= GENERALISE * F.col("n_t"))
     n_t = materialize(term_counts(rows, beside.select("term")).join(beside, "term").where(able).select("term", "n_t"), "pii-able")
-    found = texts.join(F.broadcast(_bitmap(n_t.select("term")))).select("_row", F.explode(F.filter("_tokens", _wanted)).alias("term"))
+    found = texts.withColumn("_bits", _bitmap(n_t.select("term"))).select("_row", F.explode(F.filter("_tokens", _wanted)).alias("term"))
     pairs = _of_terms(found, n_t).join(held, "_row").where(F.col("n_e") >= GENERALISE * F.col("n_t"))
     joint = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
     rated = joint.select(
