@@ -22,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import map_text
+from adloom.llm.common import forget_others, map_text
 
-# Words kept between batches by one worker. Beyond it the memory of words starts anew; results do not depend on it.
-MEMORY_WORDS = 400_000
+# Words and verdicts on pairs kept between batches by one worker. Beyond it a memory starts anew; results do not depend on it.
+MEMORY_WORDS = 150_000
+MEMORY_PAIRS = 300_000
 UNRANKED = 1 << 60
 
 # How the vocabulary's format cuts a text into words. White space is listed, as engines differ about it.
@@ -157,6 +158,8 @@ class Vocabulary:
     def compatible(self, pairs: list[int]) -> np.ndarray:
         """Whether two tokens, joined, encode to themselves. New pairs are merged together and remembered."""
         new = [p for p in pairs if p not in self.verdicts]
+        if len(self.verdicts) + len(new) > MEMORY_PAIRS:
+            self.verdicts, new = {}, list(pairs)
         tokens = [divmod(p, self.width) for p in new]
         for pair, both, made in zip(new, tokens, self.merge([self.symbols[a] + self.symbols[b] for a, b in tokens]), strict=True):
             self.verdicts[pair] = made == list(both)
@@ -244,6 +247,7 @@ _CODERS: dict[int, Coder] = {}
 def coder(content: str) -> Coder:
     key = hash(content)
     if key not in _CODERS:
+        forget_others(__name__)
         _CODERS.clear()
         _CODERS[key] = Coder(vocabulary(content))
     return _CODERS[key]
@@ -262,20 +266,21 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return out.withColumnRenamed("_id", id_col)
 
 
-def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Number of tokens and digests of ids and decoded text, without storing either."""
+def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+    """Number of tokens and digests of ids and decoded text, made where the texts are; with the ids themselves if asked."""
     content = _broadcast(docs, path)
 
     def run(batch: pa.RecordBatch) -> dict:
-        ids, shown = coder(content.value).code(batch.column("_text").to_pylist())
-        return {
-            "_id": batch.column("_id"), "n_tokens": [len(b) // 4 for b in ids],
-            "ids_sha256": [hashlib.sha256(b).hexdigest() for b in ids],
+        coded, shown = coder(content.value).code(batch.column("_text").to_pylist())
+        out = {
+            "_id": batch.column("_id"), "n_tokens": [len(b) // 4 for b in coded],
+            "ids_sha256": [hashlib.sha256(b).hexdigest() for b in coded],
             "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in shown],
         }
+        return out | {"ids": [np.frombuffer(b, "<u4").astype(np.int32) for b in coded]} if ids else out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
     return map_text(_narrow(docs, id_col, text_col), "_text", run, schema).withColumnRenamed("_id", id_col)
 
 

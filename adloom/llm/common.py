@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,3 +57,13 @@ def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict], s
 def extended(df: DataFrame, columns: list[str], added: str) -> StructType:
     """The fields of some columns, followed by those that ``added`` declares."""
     return StructType([df.schema[c] for c in columns] + _parse_datatype_string(added).fields)
+
+
+def forget_others(own: str) -> None:
+    """Drop what operators other than ``own`` (a module's name) keep between batches: the stages of a pipeline share workers."""
+    for name, module in list(sys.modules.items()):
+        if name.startswith("adloom.llm.") and name != own:
+            for value in list(vars(module).values()):
+                clear = getattr(value, "cache_clear", None)
+                if callable(clear):
+                    clear()

@@ -60,6 +60,7 @@ def test_every_document(spark, library):
 
 def test_forgetting_words_changes_nothing(monkeypatch, coder, library):
     monkeypatch.setattr(bpe, "MEMORY_WORDS", 3)
+    monkeypatch.setattr(bpe, "MEMORY_PAIRS", 2)
     for _ in range(2):
         agree(library, bpe.Coder(coder.vocab), ["one two three four five", "two six seven", "one"])
 
@@ -75,3 +76,9 @@ def test_odd_rows(spark, make, odd, library):
 def test_decode_of_ids(coder, library):
     ids = library.encode("some words <|endoftext|>", add_special_tokens=False).ids
     assert bpe.decode(ids, coder.vocab) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_ids_beside_their_digests(make, library):
+    rows = bpe.digest(make([(1, "some words"), (2, None)]), PATH, ids=True).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {1: library.encode("some words", add_special_tokens=False).ids, 2: []}
+    assert all(r.n_tokens == len(r.ids) for r in rows)
