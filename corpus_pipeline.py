@@ -1,6 +1,8 @@
 """The training-data pipeline: each stage reads what the one before it stored.
 
 Extra columns of the documents pass through all stages but the last, whatever their names: stages work under names of their own.
+Null and empty texts pass all filters and have no tokens; repeated rows are copies of each other, so one of them stays; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +50,8 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: token ids of what was kept, with a digest of the decoded text."""
-    coded = bpe.encode(docs, tokenizer_path("word_bpe_49k.json"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe.digest(docs, tokenizer_path("word_bpe_49k.json"), ids=True)
+    return coded.select("doc_id", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Stage]] = [
