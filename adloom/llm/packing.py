@@ -52,12 +52,62 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 ANY_SPACE = regex.compile(f"[{bpe.SPACE}]+")
 
 
+class Proposer:
+    """Greedy longest match of many words side by side, in a trie whose edges are one sorted array."""
+
+    def __init__(self, vocab: bpe.Vocabulary) -> None:
+        nodes: dict[str, int] = {"": 0}
+        for form in vocab.proposable:
+            for n in range(1, len(form) + 1):
+                nodes.setdefault(form[:n], len(nodes))
+        edges = sorted((nodes[f[:-1]] * 512 + ord(f[-1]), n) for f, n in nodes.items() if f)
+        self.edges = np.array([e for e, _ in edges] + [-1], np.int64)
+        self.child = np.array([n for _, n in edges] + [0], np.int64)
+        self.token = np.full(len(nodes), -1, np.int64)
+        for form, i in vocab.proposable.items():
+            self.token[nodes[form]] = i
+
+    def propose(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, owner) of words whose symbols lie one after another in ``flat``."""
+        word, end = np.arange(len(sizes)), np.cumsum(sizes)
+        pos = end - sizes
+        node, best, after = np.zeros_like(pos), np.full(len(pos), -1), pos.copy()
+        ids, owners = [], []
+        while len(word):
+            inside = pos < end
+            key = node * 512 + flat[np.minimum(pos, len(flat) - 1)]
+            at = np.searchsorted(self.edges[:-1], key)
+            hit = inside & (self.edges[at] == key)
+            node = np.where(hit, self.child[at], 0)
+            pos = pos + hit
+            found = self.token[node]
+            longer = hit & (found >= 0)
+            best, after = np.where(longer, found, best), np.where(longer, pos, after)
+            if not hit.all():
+                # No longer match: the longest so far is a token, and the search goes on behind it.
+                ids.append(best[~hit])
+                owners.append(word[~hit])
+                pos = np.where(hit, pos, after)
+                best = np.where(hit, best, -1)
+                live = hit | (pos < end)
+                if not live.all():
+                    word, end, pos, node, best, after = (x[live] for x in (word, end, pos, node, best, after))
+        empty = [np.zeros(0, np.int64)]
+        owner = np.concatenate(owners or empty)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(ids or empty)[order], owner[order]
+
+
 class Coder:
-    """Token ids as little-endian bytes, with a memory of the stretches between white space."""
+    """Token ids as little-endian bytes, with a memory of the stretches between white space.
+
+    New words are proposed together, all adjacent pairs are looked up together, and words with a failing pair are merged exactly.
+    """
 
     def __init__(self, vocab: bpe.Vocabulary) -> None:
-        self.vocab = vocab
+        self.vocab, self.proposer = vocab, Proposer(vocab)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.plain = all(s.startswith("<|") for s in vocab.special)
 
     def stretches(self, text: str) -> list[str]:
@@ -72,19 +122,52 @@ class Coder:
             text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
         return ANY_SPACE.split(text) if SEPARATORS.search(text) else text.split()
 
-    def learn(self, stretches: set[str]) -> None:
-        new = [s for s in stretches if s not in self.known]
-        if len(self.known) + len(new) > MEMORY:
-            self.known, new = {}, list(stretches)
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words."""
+        if not words:
+            return {}
         if len(self.vocab.verdicts) > MEMORY:
             self.vocab.verdicts.clear()
-        cut = [[] if isinstance(s, bpe.Special) else (bpe.ASCII_WORDS if s.isascii() else bpe.ANY_WORDS).findall(s) for s in new]
-        words = list({w for c in cut for w in c})
-        coded = dict(zip(words, self.vocab.encode_words(words), strict=True)) if words else {}
-        form = self.vocab.bytes
-        for s, c in zip(new, cut, strict=True):
-            ids = [self.vocab.special[str(s)]] if isinstance(s, bpe.Special) else [i for w in c for i in coded[w]]
-            self.known[s] = b"".join([form[i] for i in ids])
+        raw = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+        if self.vocab.suffix:
+            flat[np.cumsum(sizes) - 1] += 256
+        ids, owner = self.proposer.propose(flat, sizes)
+        inner = owner[1:] == owner[:-1]
+        kinds, back = np.unique((ids[:-1] * self.vocab.width + ids[1:])[inner], return_inverse=True)
+        failed = np.unique(owner[1:][inner][~self.vocab.compatible(kinds.tolist())[back]])
+        ends = (4 * np.searchsorted(owner, np.arange(len(raw)), "right")).tolist()
+        coded = ids.astype("<u4").tobytes()
+        out = {w: coded[i:j] for w, i, j in zip(words, [0, *ends], ends, strict=False)}
+        forms = ["".join(map(chr, flat[j - n : j])) for j, n in zip(np.cumsum(sizes)[failed], sizes[failed], strict=True)]
+        for k, exact in zip(failed.tolist(), self.vocab.merge(forms), strict=True):
+            out[words[k]] = np.array(exact, "<u4").tobytes()
+        return out
+
+    def learn(self, stretches: set[str]) -> None:
+        if len(self.known) > MEMORY:
+            self.known, self.before = {}, self.known
+        new = []
+        for s in stretches:
+            if s not in self.known:
+                old = self.before.get(s)
+                if old is None:
+                    new.append(s)
+                else:
+                    self.known[s] = old
+        special = [s for s in new if isinstance(s, bpe.Special)]
+        self.known.update((s, self.vocab.bytes[self.vocab.special[str(s)]]) for s in special)
+        whole = {s for s in new if s.isascii() and s.isalpha() and not isinstance(s, bpe.Special)}
+        cut = {s: (bpe.ASCII_WORDS if s.isascii() else bpe.ANY_WORDS).findall(s) for s in new if s not in whole and not isinstance(s, bpe.Special)}
+        parts = {w for c in cut.values() for w in c} - whole
+        parts -= self.known.keys()
+        coded = self.words([*whole, *parts])
+        self.known.update(coded)
+        known = self.known
+        for s, c in cut.items():
+            if len(c) != 1 or c[0] != s:
+                known[s] = b"".join([known[w] for w in c])
 
     def code(self, texts: list[str]) -> list[bytes]:
         cut = [self.stretches(t) for t in texts]
