@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.arrays import WHITE_SPACE, split_tokens, token_count
 from adloom.operators.clean import is_missing, value_counts
-from adloom.operators.quantiles import interpolated_quantiles, unpivot, weighted_values
+from adloom.operators.quantiles import column_quantiles, interpolated_quantiles, unpivot, weighted_values
 from adloom.operators.vocab import feature_table
 from adloom.session import materialize
 
@@ -92,7 +92,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         exprs += [e.alias(f"{c}__{k}") for k, e in parts.items()]
         groups[c] = {k: f"{c}__{k}" for k in parts}
     moments = _rows_to_columns(df.agg(*exprs), groups)
-    quartiles = interpolated_quantiles(weighted_values(df, columns), QUARTILES)
+    quartiles = column_quantiles(df, columns, QUARTILES)
     return moments.join(quartiles.withColumnRenamed("feature", "column"), "column", "left").select(
         "column", "count", "mean", "std", "min", *QUARTILES, "max"
     )

@@ -142,6 +142,21 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx") -
     return with_rank(df, order, name=name).withColumn(name, F.col(name) - 1)
 
 
+def rank_targets(counts: DataFrame, ranks: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Where the wanted ranks lie: (by…, _cell, _total, _name, _r) with ``_r`` counted from the start of the cell.
+
+    ``counts`` holds the weight ``_n`` of each (by…, _cell); ``ranks`` is as in :func:`keys_at_ranks`.
+    """
+    upto = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
+    cells = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_total", F.sum("_n").over(W.partitionBy(*by)))
+    wanted = F.array(*[F.struct(F.lit(n).alias("n"), r.cast("bigint").alias("r")) for n, r in ranks.items()])
+    return (
+        cells.select(*by, "_cell", "_upto", "_n", "_total", F.explode(wanted).alias("t"))
+        .where((F.col("t.r") <= F.col("_upto")) & (F.col("t.r") > F.col("_upto") - F.col("_n")))
+        .select(*by, "_cell", "_total", F.col("t.n").alias("_name"), (F.col("t.r") - F.col("_upto") + F.col("_n")).alias("_r"))
+    )
+
+
 def keys_at_ranks(
     df: DataFrame,
     order: Sequence[str],
@@ -167,19 +182,7 @@ def keys_at_ranks(
     else:
         # Weighted rows come from an aggregation: store them with their buckets and aggregate once.
         frame = materialize(with_bucket(narrow, keys, buckets, "_cell", also=["_w"]), "weighted")
-    upto = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
-    cells = (
-        frame.groupBy(*by, "_cell")
-        .agg(F.sum("_w").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(W.partitionBy(*by)))
-    )
-    wanted = F.array(*[F.struct(F.lit(n).alias("n"), r.cast("bigint").alias("r")) for n, r in ranks.items()])
-    targets = (
-        cells.select(*by, "_cell", "_upto", "_n", "_total", F.explode(wanted).alias("t"))
-        .where((F.col("t.r") <= F.col("_upto")) & (F.col("t.r") > F.col("_upto") - F.col("_n")))
-        .select(*by, "_cell", "_total", F.col("t.n").alias("_name"), (F.col("t.r") - F.col("_upto") + F.col("_n")).alias("_r"))
-    )
+    targets = rank_targets(frame.groupBy(*by, "_cell").agg(F.sum("_w").alias("_n")), ranks, by)
     # One row per group and rank.
     targets = materialize(targets, "targets")
     small = fits_broadcast(targets)

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from adloom.operators import quantiles as qt
 from adloom.operators.quantiles import interpolated_quantiles, weighted_values
 from adloom.operators.ranking import keys_at_ranks, running_totals, with_bucket, with_rank, with_row_index
 
@@ -112,3 +114,40 @@ def test_release_deletes_only_own_tables(spark):
     assert df.count() == 3 and os.path.isdir(session_dir(spark))
     release(spark)
     assert not os.path.exists(session_dir(spark)) and os.path.isdir(shared_dir(spark))
+
+
+NAMES = {"a": 0.1, "b": 0.5, "c": 0.995, "d": 0.0, "e": 1.0}
+
+
+def spread(spark, n=20_000):
+    """Distinct values, a hot value in half of the rows, few values with gaps, and a column without numbers."""
+    x = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0
+    return spark.range(n).select(
+        x.alias("wide"), F.when(F.col("id") % 2 == 0, 5.0).otherwise(x).alias("hot"),
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 5).alias("few"), F.lit(None).cast("int").alias("none"),
+    )
+
+
+@pytest.mark.parametrize("cell_values", [1 << 21, 10])
+@pytest.mark.parametrize("cells", [2, 64])
+def test_column_quantiles_are_exact(spark, monkeypatch, cells, cell_values):
+    monkeypatch.setattr(qt, "CELLS", cells)
+    monkeypatch.setattr(qt, "CELL_VALUES", cell_values)
+    df = spread(spark, 3000)
+    got = {r.feature: r.asDict() for r in qt.column_quantiles(df, df.columns, NAMES).collect()}
+    assert set(got) == {"wide", "hot", "few"}
+    local = df.toPandas().astype(float)
+    for c, row in got.items():
+        want = np.quantile(local[c].dropna(), list(NAMES.values()))
+        assert np.allclose([row[n] for n in NAMES], want, rtol=1e-12), c
+    assert qt.column_quantiles(df.limit(0), df.columns, NAMES).count() == 0
+
+
+def test_few_values_move(spark):
+    """What is grouped by value are the cells of the wanted ranks; the rest is counted where it is read."""
+    df = spread(spark)
+    cells = 128
+    frame = qt.in_cells(df, ["wide"], qt.cell_boundaries(df, ["wide"], cells), cells)
+    counts = frame.groupBy("feature", "_cell").count().withColumnRenamed("count", "_n")
+    targets = qt.rank_targets(counts, {"m": F.lit(10_000)}, ["feature"])
+    assert counts.count() <= cells and qt.values_in_cells(frame, targets).count() < 20_000 * 6 / cells
