@@ -56,14 +56,16 @@ def log_loss(df: DataFrame, label: str, score: str) -> DataFrame:
 # ---- threshold curve: AUC and AP ---------------------------------------------------------------
 
 
+def score_cells(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct score: its negative, sum of labels, rows, and rows with label 1. Cells add up over parts of a table."""
+    rows = df.where(_known(label, score)).select(*by, (-F.col(score).cast("double") + F.lit(0.0)).alias("_neg"), F.col(label).cast("double").alias("_y"))
+    ones = F.sum(F.when(F.col("_y") == 1, 1.0).otherwise(0.0))
+    return rows.groupBy(*by, "_neg").agg(F.sum("_y").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"), ones.alias("ones"))
+
+
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, highest first: pos, n and their inclusive running sums."""
-    cells = (
-        df.where(_known(label, score)).select(*by, (-F.col(score).cast("double") + F.lit(0.0)).alias("_neg"), F.col(label).cast("double").alias("_y"))
-        .groupBy(*by, "_neg")
-        .agg(F.sum("_y").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
-    )
-    return running_totals(cells, ["_neg"], {"cum_pos": "pos", "cum_n": "n"}, by)
+    return running_totals(score_cells(df, label, score, by), ["_neg"], {"cum_pos": "pos", "cum_n": "n"}, by)
 
 
 def _curve_terms() -> list[Column]:
@@ -78,19 +80,38 @@ def _curve_terms() -> list[Column]:
     ]
 
 
-def curve_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """AUC and average precision (ties share a threshold), overall or per group, from one pass."""
-    curve = score_curve(df, label, score, by)
-    sums = curve.groupBy(*by).agg(*_curve_terms()) if by else curve.agg(*_curve_terms())
+def _cell_losses() -> list[Column]:
+    """Loss sums, all of them linear in the labels, over cells."""
+    p = clip(-F.col("_neg"), EPS, 1 - EPS)
+    loss = lambda y, n: -(y * F.log(p) + (n - y) * F.log(1 - p))
+    pos, n, ones = F.col("pos"), F.col("n"), F.col("ones")
+    return [
+        F.sum(loss(pos, n)).alias("_loss"), F.sum(n).alias("_rows"),
+        F.sum(loss(ones, ones)).alias("_lp"), F.sum(loss(pos - ones, n - ones)).alias("_ln"), F.sum(ones).alias("_np"), F.sum(n - ones).alias("_nn"),
+    ]
+
+
+def cell_metrics(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, auc, ap, logloss, wll, n_pos, n_neg) from cells as :func:`score_cells` makes them, in one ordered pass."""
+    curve = running_totals(cells, ["_neg"], {"cum_pos": "pos", "cum_n": "n"}, by)
+    terms = [*_curve_terms(), *_cell_losses()]
+    sums = curve.groupBy(*by).agg(*terms) if by else curve.agg(*terms)
     return sums.select(
         *by,
         (1 - _ratio(F.col("_lost"), F.col("n_pos") * F.col("n_neg"))).alias("auc"),
         _ratio(F.col("_prec"), F.col("n_pos")).alias("ap"),
+        _ratio(F.col("_loss"), F.col("_rows")).alias("logloss"),
+        _wll(None).alias("wll"),
         "n_pos",
         "n_neg",
     )
 
 
+def curve_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """AUC and average precision (ties share a threshold), overall or per group, from one pass."""
+    return cell_metrics(score_cells(df, label, score, by), by).select(*by, "auc", "ap", "n_pos", "n_neg")
+
+
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return curve_metrics(df, label, score).select("auc")
 
@@ -136,12 +157,7 @@ def weighted_log_loss(
 
 def composite_score(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """AP, WLL, its bounded form 1/(1+WLL) and the mean of AP and that form."""
-    ap = curve_metrics(df, label, score, by).select(*by, "ap")
-    wll = weighted_log_loss(df, label, score, by=by)
-    if by:
-        both = null_safe_join(ap, wll, by, "inner")
-    else:
-        both = ap.select("ap", wll.scalar().alias("wll"))
+    both = cell_metrics(score_cells(df, label, score, by), by)
     part = 1 / (1 + F.col("wll"))
     return both.select(
         *by, "ap", "wll", part.alias("wll_component"), (0.5 * F.col("ap") + 0.5 * part).alias("final_score")
@@ -229,6 +245,38 @@ def ndcg(df: DataFrame, group: str, label: str, score: str, tie: str, k: int) ->
     return ndcg_table(df, group, label, score, tie, k).agg(F.avg("ndcg").alias("ndcg"))
 
 
+def ideal_gains(base: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """(_g, _idcg_k…): the best possible gains, from the number of rows of each label in a group."""
+    above = W.partitionBy("_g").orderBy(F.desc("_y")).rowsBetween(W.unboundedPreceding, 0)
+    runs = base.groupBy("_g", "_y").agg(F.count(F.lit(1)).alias("_n")).withColumn("_last", F.sum("_n").over(above))
+    first = F.col("_last") - F.col("_n") + 1
+
+    def discounts(k: int) -> Column:
+        last = F.least(F.col("_last"), F.lit(k).cast("bigint"))
+        places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+        return F.aggregate(places, F.lit(0.0), lambda a, r: a + 1 / F.log2(r.cast("double") + 1))
+
+    return runs.groupBy("_g").agg(*[F.sum((F.pow(F.lit(2.0), F.col("_y")) - 1) * discounts(k)).alias(f"_idcg_{k}") for k in ks])
+
+
+def ranked_metrics(df: DataFrame, group: str, label: str, score: str, tie: str, ks: Sequence[int], with_mrr: bool = True) -> DataFrame:
+    """One row: ``mrr`` (if asked) and ``ndcg_k`` for every k, the group means, from one ranking of the rows."""
+    base = _best_first(df, group, label, score, tie)
+    if with_mrr:
+        ranked = with_rank(base, ["_neg", "_id"], ["_g"], "_rk")
+    else:
+        ranked = top_k(base, ["_g"], ["_neg", "_id"], max(ks), "_rk")
+    gain = (F.pow(F.lit(2.0), F.col("_y")) - 1) / F.log2(F.col("_rk") + 1)
+    sums = [F.sum(F.when(F.col("_rk") <= k, gain).otherwise(0.0)).alias(f"_dcg_{k}") for k in ks]
+    if with_mrr:
+        sums.append((F.sum(F.col("_y") / F.col("_rk")) / (F.sum("_y") + TINY)).alias("mrr"))
+    per = ranked.groupBy("_g").agg(*sums)
+    if ks:
+        per = null_safe_join(per, ideal_gains(base, ks), ["_g"], "inner")
+    means = [F.avg(F.col(f"_dcg_{k}") / (F.col(f"_idcg_{k}") + TINY)).alias(f"ndcg_{k}") for k in ks]
+    return per.agg(*means, *([F.avg("mrr").alias("mrr")] if with_mrr else []))
+
+
 # ---- dispatch ------------------------------------------------------------------------------------
 
 # NDCG() is NDCG(k=1).
@@ -267,18 +315,18 @@ def evaluate(
 
     parts = []
     losses = [m for m in place if m in _LOSS_NAMES]
-    if losses:
-        parts.append(rows(log_loss(df, label, score), dict.fromkeys(losses, "logloss")))
     if "AUC" in place:
-        parts.append(rows(auc(df, label, score), {"AUC": "auc"}))
+        whole = cell_metrics(score_cells(df, label, score))
+        parts.append(rows(whole, {"AUC": "auc", **dict.fromkeys(losses, "logloss")}))
+    elif losses:
+        parts.append(rows(log_loss(df, label, score), dict.fromkeys(losses, "logloss")))
     group_aucs = [m for m in place if m in _GROUP_AUC]
     if group_aucs:
         parts.append(rows(_group_auc_summary(df, group, label, score), {m: m for m in group_aucs}))
-    if "MRR" in place:
-        parts.append(rows(mrr(df, group, label, score, tie), {"MRR": "mrr"}))
-    for m in place:
-        if _NDCG.fullmatch(m):
-            parts.append(rows(ndcg(df, group, label, score, tie, int(_NDCG.fullmatch(m).group(1) or 1)), {m: "ndcg"}))
+    cutoffs = {m: int(_NDCG.fullmatch(m).group(1) or 1) for m in place if _NDCG.fullmatch(m)}
+    if cutoffs or "MRR" in place:
+        ranked = ranked_metrics(df, group, label, score, tie, sorted(set(cutoffs.values())), "MRR" in place)
+        parts.append(rows(ranked, {**({"MRR": "mrr"} if "MRR" in place else {}), **{m: f"ndcg_{k}" for m, k in cutoffs.items()}}))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -304,10 +352,20 @@ def custom_group_metric(
 
 def multitask(df: DataFrame, tasks: Sequence[tuple[str, str, str]], metrics: Sequence[str], group: str | None = None, tie: str | None = None) -> DataFrame:
     """Each metric per task (name, label, score) as ``name_metric``, plus its mean over tasks."""
-    parts = []
-    for name, label, score in tasks:
-        one = evaluate(df, metrics, label, score, group, tie)
-        parts.append(one.select(F.concat(F.lit(name + "_"), "metric").alias("name"), "metric", "value"))
-    per_task = reduce(DataFrame.unionByName, parts)
+    if metrics and not set(metrics) - {*_LOSS_NAMES, "AUC"}:
+        # The task is a key of the cells: one pass for all of them.
+        rows = F.array(*[F.struct(F.lit(n).alias("_task"), F.col(y).cast("double").alias("_label"), F.col(p).cast("double").alias("_score")) for n, y, p in tasks])
+        cells = score_cells(df.select(F.inline(rows)), "_label", "_score", ["_task"])
+        values = [F.struct(F.lit(m).alias("metric"), F.col("auc" if m == "AUC" else "logloss").alias("value")) for m in metrics]
+        scored = cell_metrics(cells, ["_task"]).select("_task", F.inline(F.array(*values)))
+        # A task without a usable row has a row of nulls.
+        every = df.sparkSession.createDataFrame([(n, m) for n, _, _ in tasks for m in metrics], "_task string, metric string")
+        per_task = every.join(scored, ["_task", "metric"], "left").select(F.concat_ws("_", "_task", "metric").alias("name"), "metric", "value")
+    else:
+        parts = []
+        for name, label, score in tasks:
+            one = evaluate(df, metrics, label, score, group, tie)
+            parts.append(one.select(F.concat(F.lit(name + "_"), "metric").alias("name"), "metric", "value"))
+        per_task = reduce(DataFrame.unionByName, parts)
     mean = per_task.groupBy("metric").agg(F.avg("value").alias("value"))
     return per_task.select("name", "value").unionByName(mean.select(F.col("metric").alias("name"), "value"))

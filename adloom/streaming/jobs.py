@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from adloom.operators.joins import anti_join
-from adloom.operators.metrics import evaluate
+from adloom.operators.metrics import cell_metrics, evaluate, score_cells
 from adloom.operators.ranking import with_rank
 from adloom.operators.vocab import with_reserved
 from adloom.plans.encoder import FittedEncoder
@@ -100,3 +100,18 @@ def metric_stream(stream: DataFrame, metrics: Sequence[str], label: str, score:
         evaluate(batch, metrics, label, score, group, tie).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()
+
+
+def running_metric_stream(stream: DataFrame, label: str, score: str, out: str, checkpoint: str) -> StreamingQuery:
+    """AUC, average precision, log loss and weighted log loss of everything seen so far, a row per batch (auc, ap, logloss, wll, n).
+
+    The state is one cell per distinct score, kept and added to by the state store; earlier rows are never read again. Round
+    scores to bound the number of cells. A replayed batch writes its row anew.
+    """
+
+    def step(cells: DataFrame, batch_id: int) -> None:
+        found = cell_metrics(cells).select("auc", "ap", "logloss", "wll", (F.col("n_pos") + F.col("n_neg")).cast("bigint").alias("n"))
+        found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    cells = score_cells(stream, label, score)
+    return cells.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()

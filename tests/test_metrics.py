@@ -119,3 +119,19 @@ def test_no_python_in_builtin_metrics(preds):
 def test_top_k_prunes_before_the_shuffle(preds):
     plan = m.top_k(preds, ["g"], ["p", "id"], 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_tasks_share_a_pass_and_ideal_gains_count_labels(spark, preds):
+    """Tasks as keys of the cells equal one evaluation each; ranked metrics from one ranking equal one table each."""
+    both = preds.withColumn("q", 1 - F.col("p")).withColumn("none", F.lit(None).cast("double"))
+    tasks = [("a", "y", "p"), ("b", "y", "q"), ("c", "y", "none")]
+    got = {r["name"]: r["value"] for r in m.multitask(both, tasks, ["AUC", "logloss"]).collect()}
+    want = {f"{n}_{r['metric']}": r["value"] for n, y, p in tasks for r in m.evaluate(both, ["AUC", "logloss"], y, p).collect()}
+    for k, v in want.items():
+        assert got[k] is None if v is None else got[k] == pytest.approx(v, abs=1e-12)
+    assert got["AUC"] == pytest.approx((got["a_AUC"] + got["b_AUC"]) / 2)
+    for with_mrr in (True, False):
+        one = m.ranked_metrics(preds, "g", "y", "p", "id", [1, 2, 5], with_mrr).first()
+        for k in (1, 2, 5):
+            assert one[f"ndcg_{k}"] == pytest.approx(m.ndcg(preds, "g", "y", "p", "id", k).first()["ndcg"], abs=1e-12)
+    assert m.ranked_metrics(preds, "g", "y", "p", "id", []).first()["mrr"] == pytest.approx(m.mrr(preds, "g", "y", "p", "id").first()["mrr"])

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from adloom.operators import metrics
 from adloom.plans import encoder as plan
 from adloom.streaming import jobs
 
@@ -85,3 +86,22 @@ def test_streams_go_through_the_batch_plan(spark, arriving):
     fitted = plan.fit(batch, SPEC, LABEL)
     with pytest.raises(ValueError, match="transform_stream"):
         fitted.transform(jobs.file_stream(spark, path, batch.schema, 1))
+
+
+def test_metrics_of_all_rows_so_far(spark, tmp_path):
+    """After each of four batches: what the batch metrics say of all rows up to there, ties and unusable rows included."""
+    path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    row = lambda i: F.pmod(F.xxhash64(i), F.lit(40))
+    rows = spark.range(400).select("id", (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).cast("int").alias("y"), F.when(F.col("id") % 50 != 7, row("id") / 40).alias("p"))
+    for k in range(4):
+        rows.where(F.floor(F.col("id") / 100) == k).coalesce(1).write.mode("append").parquet(path)
+        jobs.running_metric_stream(jobs.file_stream(spark, path, rows.schema, 1), "y", "p", out, ckpt).awaitTermination()
+    for k in range(4):
+        seen = rows.where(F.col("id") < 100 * (k + 1))
+        want = metrics.cell_metrics(metrics.score_cells(seen, "y", "p")).first()
+        got = spark.read.parquet(f"{out}/batch={k}").first()
+        assert got.n == seen.where("p IS NOT NULL").count()
+        for name in ("auc", "ap", "logloss", "wll"):
+            assert got[name] == pytest.approx(want[name], abs=1e-12)
+        assert got.auc == pytest.approx(metrics.auc(seen, "y", "p").first().auc, abs=1e-12)
+        assert got.logloss == pytest.approx(metrics.log_loss(seen, "y", "p").first().logloss, abs=1e-12)
