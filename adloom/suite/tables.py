@@ -77,11 +77,13 @@ def _(spark, sf):
     return readers.read_encoded(spark, path, "valid").select("id", "event_type", "clicked")
 
 
-@query("snk_blocks", "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders")
+@query("snk_blocks", "SELECT least(500, count(*)) AS largest_block, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders")
 def _(spark, sf):
     path = scratch_path(spark, "blocks")
-    writers.write_encoded(table(spark, sf, "orders"), path, max_records=5000)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"))
+    writers.write_encoded(table(spark, sf, "orders"), path, max_records=500)
+    blocks = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    whole = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"))
+    return whole.select(blocks.alias("largest_block"), "n_rows", "n_keys")
 
 
 @query("snk_append", f"""

@@ -109,12 +109,14 @@ def _(spark, sf):
 
 @query("jn_embedding_lookup", f"""
 WITH {CELLS}, o AS (SELECT l_orderkey, CAST(l_partkey AS BIGINT) AS vec_id FROM lineitem)
-SELECT l_orderkey, count(*) AS n, {s6('sum(x)')} AS total FROM o JOIN cell USING (vec_id) WHERE dim = 0 GROUP BY 1
+SELECT l_orderkey, count(*) FILTER (WHERE dim = 0) AS n, {s6('sum(x * (dim + 1))', 4)} AS total FROM o JOIN cell USING (vec_id) GROUP BY 1
 """)
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     found = vec.embedding_lookup(li, "l_orderkey", "l_partkey", emb(spark, sf), "vec_id", "embedding")
-    return found.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), r6(F.sum(F.get("vector", F.lit(0)))).alias("total"))
+    # Every element counts, by its place.
+    weighted = F.aggregate(F.transform("vector", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return found.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), r6(F.sum(weighted), 4).alias("total"))
 
 
 @query("vec_lookup_pool", f"""
@@ -171,16 +173,15 @@ def _(spark, sf):
 
 
 @query("vec_stack", f"""
-SELECT vec_id, 2 AS n_fields, {s6('embedding[1]')} AS first, {s6('-embedding[64]')} AS last, 128 AS flat_width FROM embeddings
+WITH f AS (SELECT vec_id, list_concat(embedding, list_transform(embedding, lambda x: -x)) AS v FROM embeddings),
+u AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS pos FROM f)
+SELECT vec_id, 2 AS n_fields, CAST(pos AS INTEGER) AS pos, {s6('x')} AS value FROM u
 """)
 def _(spark, sf):
     e = emb(spark, sf).withColumn("negated", F.transform("embedding", lambda x: -x))
     s = e.select("vec_id", vec.stack_fields("embedding", "negated").alias("f"))
-    flat = vec.concat_fields("f")
-    return s.select(
-        "vec_id", F.size("f").alias("n_fields"), r6(F.get(F.get("f", F.lit(0)), F.lit(0))).alias("first"),
-        r6(F.get(flat, F.lit(127))).alias("last"), F.size(flat).alias("flat_width"),
-    )
+    flat = s.select("vec_id", F.size("f").alias("n_fields"), F.posexplode(vec.concat_fields("f")).alias("pos", "value"))
+    return flat.select("vec_id", "n_fields", "pos", r6("value").alias("value"))
 
 
 # ---- submissions -----------------------------------------------------------------------------------
@@ -363,17 +364,43 @@ def _(spark, sf):
     return jobs.growing_vocab(spark, out, "user_id").select("token", "idx")
 
 
+def _dealt(spark, sf):
+    """The impressions as four files, by the remainder of the id, and their schema."""
+    path, imp = scratch_path(spark, "dealt"), impressions(spark, sf)
+    for k in range(4):
+        imp.where(F.col("id") % 4 == k).coalesce(1).write.mode("append").parquet(path)
+    return path, imp.schema
+
+
 @query("str_vocab_growing", f"""
-WITH {IMP}, u AS (SELECT CAST(user_id * 40 + CAST(k AS INTEGER) % 40 AS VARCHAR) AS token FROM imp)
-SELECT count(DISTINCT token) + 2 AS vocab_size, count(DISTINCT token) + 2 AS n_ids FROM u
+WITH {IMP}, u AS (SELECT CAST(user_id * 40 + CAST(k AS INTEGER) % 40 AS VARCHAR) AS token, id, id % 4 AS batch FROM imp),
+t AS (SELECT token, min(batch) AS batch FROM u GROUP BY 1), o AS (SELECT token, batch, min(id) AS first FROM u JOIN t USING (token, batch) GROUP BY 1, 2),
+n AS (SELECT token, row_number() OVER (ORDER BY batch, CASE WHEN batch = 0 THEN 0 ELSE first END, token) AS idx FROM o)
+SELECT token, idx FROM n UNION ALL SELECT '__PAD__', 0 UNION ALL SELECT '__OOV__', (SELECT count(*) + 1 FROM n)
 """)
 def _(spark, sf):
-    """One file per batch: later tokens follow earlier ones, ids stay dense."""
-    path, schema = _staged(spark, sf)
+    """One file per batch: tokens of the first are numbered in order, later ones follow as they arrive."""
+    path, schema = _dealt(spark, sf)
     out = scratch_path(spark, "vocab")
     stream = jobs.file_stream(spark, path, schema, 1).withColumn("key", F.col("user_id") * 40 + F.col("k").cast("int") % 40)
     _run(jobs.vocab_stream(stream, "key", "id", out, scratch_path(spark, "ckpt")))
-    return jobs.growing_vocab(spark, out, "key").agg((F.max("idx") + 1).alias("vocab_size"), F.countDistinct("idx").alias("n_ids"))
+    return jobs.growing_vocab(spark, out, "key").select("token", "idx")
+
+
+@query("str_running_metrics", f"""
+WITH {IMP}, r AS (SELECT batch, clicked, score FROM imp, range(4) b(batch) WHERE id % 4 <= batch),
+p AS (SELECT batch, score, sum(clicked) AS pos, count(*) AS n FROM r GROUP BY 1, 2),
+w AS (SELECT *, sum(pos) OVER v AS cum_pos, sum(n) OVER v AS cum_n FROM p WINDOW v AS (PARTITION BY batch ORDER BY score DESC)),
+a AS (SELECT batch, 1 - sum(pos * (cum_n - cum_pos - (n - pos) / 2.0)) / (sum(pos) * sum(n - pos)) AS auc, sum(pos * cum_pos / cum_n) / sum(pos) AS ap FROM w GROUP BY 1),
+l AS (SELECT batch, avg({LOSS}) AS logloss, count(*) AS n FROM r GROUP BY 1)
+SELECT CAST(batch AS INTEGER) AS batch, {s6('auc')} AS auc, {s6('ap')} AS ap, {s6('logloss')} AS logloss, n FROM a JOIN l USING (batch)
+""")
+def _(spark, sf):
+    """Metrics of everything seen so far, after each of four batches."""
+    path, schema = _dealt(spark, sf)
+    out = scratch_path(spark, "running")
+    _run(jobs.running_metric_stream(jobs.file_stream(spark, path, schema, 1), "clicked", "score", out, scratch_path(spark, "ckpt")))
+    return spark.read.parquet(out).select("batch", *[r6(c).alias(c) for c in ("auc", "ap", "logloss")], "n")
 
 
 @query("str_metrics", f"WITH {IMP} SELECT 'logloss' AS metric, {s6(f'avg({LOSS})')} AS value FROM imp")
