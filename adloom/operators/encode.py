@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.arrays import as_col, pad, split_tokens, take
 from adloom.functions.scalars import md5_int
+from adloom.functions.vectorized import Vectorized
 from adloom.operators.joins import lookup_join
 from adloom.operators.vocab import OOV, PAD_IDX, VocabStats
 from adloom.session import materialize
@@ -144,11 +145,13 @@ def encode_float_sequence(
 ) -> Column:
     """Delimited numbers → scaled fixed-length array.
 
-    The normaliser runs inside the array, so it must be a fitted scaler or a function of columns; Spark refuses Python
-    functions there.
+    The normaliser is a fitted scaler, a function of columns, or a vectorised function, which takes all elements of a batch at once.
     """
     kept = take(split_tokens(column, sep), max_len, padding)
-    numbers = F.transform(kept, lambda t: t.cast("double") if scaler is None else apply_normalizer(t.cast("double"), scaler))
+    if isinstance(scaler, Vectorized):
+        numbers = scaler.elements(F.transform(kept, lambda t: t.cast("double")))
+    else:
+        numbers = F.transform(kept, lambda t: t.cast("double") if scaler is None else apply_normalizer(t.cast("double"), scaler))
     return pad(numbers, max_len, float(padding_value), padding)
 
 

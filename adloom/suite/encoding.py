@@ -331,6 +331,24 @@ def _(spark, sf):
     return out.select("doc_id", F.posexplode("v").alias("p", "x")).select("doc_id", (F.col("p") + 1).alias("pos"), r6("x").alias("x"))
 
 
+@query("enc_float_sequence_vectorized", f"""
+WITH g AS (SELECT doc_id, list_transform({tokens_sql('text')}, lambda w: len(w)) AS t FROM documents),
+e AS (SELECT doc_id, unnest(t[greatest(len(t) - 19, 1):]) AS x, generate_subscripts(t[greatest(len(t) - 19, 1):], 1) + greatest(20 - len(t), 0) AS pos FROM g),
+p AS (SELECT doc_id, unnest(range(1, 21)) AS pos FROM g)
+SELECT doc_id, pos, {s6('coalesce(ln(1 + x), -1)')} AS x FROM p LEFT JOIN e USING (doc_id, pos)
+""")
+def _(spark, sf):
+    """A user's vectorised function over all elements of a batch."""
+    import numpy as np
+
+    from adloom.functions.vectorized import vectorized
+
+    docs = table(spark, sf, "documents")
+    lengths = F.array_join(F.transform(arrays.split_tokens("text", " "), lambda w: F.length(w).cast("string")), ",")
+    out = docs.select("doc_id", enc.encode_float_sequence(lengths, ",", 20, vectorized(np.log1p)).alias("v"))
+    return out.select("doc_id", F.posexplode("v").alias("p", "x")).select("doc_id", (F.col("p") + 1).alias("pos"), r6("x").alias("x"))
+
+
 @query("enc_quantile_bucket", f"""
 WITH b AS (SELECT quantile_cont(o_totalprice, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM orders)
 SELECT o_orderkey, len(list_filter(q, lambda x: x <= o_totalprice)) AS bucket FROM orders, b

@@ -287,3 +287,21 @@ def test_clip_keeps_missing_values(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (-1.0,), (2.0,)], "x double")
     out = [r[0] for r in df.select(scalars.clip("x", 0.0, 1.0)).collect()]
     assert out[0] is None and out[1] != out[1] and out[2:] == [0.0, 1.0]
+
+
+def test_vectorised_function_inside_arrays(spark):
+    import numpy as np
+    import pandas as pd
+
+    from adloom.functions.vectorized import vectorized
+    from adloom.operators import encode
+
+    rows = spark.createDataFrame([(1, "1,2,3,4"), (2, ""), (3, None), (4, "7")], "i int, s string").repartition(2)
+    seen = vectorized(lambda x: pd.Series(np.log1p(x)))
+    got = {r.i: r.v for r in rows.select("i", encode.encode_float_sequence("s", ",", 3, seen).alias("v")).collect()}
+    assert got[1] == pytest.approx([np.log(3), np.log(4), np.log(5)])
+    assert got[4][:2] == [-1.0, -1.0] and got[4][2] == pytest.approx(np.log(8))
+    plain = {r.i: r.v for r in rows.select("i", encode.encode_float_sequence("s", ",", 3, F.log1p).alias("v")).collect()}
+    assert [got[i] for i in (2, 3)] == [plain[i] for i in (2, 3)]
+    arrays = spark.createDataFrame([([1.0, None],), ([],), (None,)], "a array<double>").select(vectorized(lambda x: x + 1).elements(F.col("a")).alias("a"))
+    assert [r.a for r in arrays.collect()] == [[2.0, None], [], None]
