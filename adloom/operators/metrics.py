@@ -355,9 +355,14 @@ def multitask(df: DataFrame, tasks: Sequence[tuple[str, str, str]], metrics: Seq
     if metrics and not set(metrics) - {*_LOSS_NAMES, "AUC"}:
         # The task is a key of the cells: one pass for all of them.
         rows = F.array(*[F.struct(F.lit(n).alias("_task"), F.col(y).cast("double").alias("_label"), F.col(p).cast("double").alias("_score")) for n, y, p in tasks])
-        cells = score_cells(df.select(F.inline(rows)), "_label", "_score", ["_task"])
+        melted = df.select(F.inline(rows))
+        if "AUC" in metrics:
+            found = cell_metrics(score_cells(melted, "_label", "_score", ["_task"]), ["_task"])
+        else:
+            # Losses alone need no order.
+            found = melted.where(_known("_label", "_score")).groupBy("_task").agg(F.avg(pointwise_loss("_label", "_score")).alias("logloss"))
         values = [F.struct(F.lit(m).alias("metric"), F.col("auc" if m == "AUC" else "logloss").alias("value")) for m in metrics]
-        scored = cell_metrics(cells, ["_task"]).select("_task", F.inline(F.array(*values)))
+        scored = found.select("_task", F.inline(F.array(*values)))
         # A task without a usable row has a row of nulls.
         every = df.sparkSession.createDataFrame([(n, m) for n, _, _ in tasks for m in metrics], "_task string, metric string")
         per_task = every.join(scored, ["_task", "metric"], "left").select(F.concat_ws("_", "_task", "metric").alias("name"), "metric", "value")
