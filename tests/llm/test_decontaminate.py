@@ -1,6 +1,7 @@
 """Operator 8 against full alignment of every item with every text."""
 
 import random
+import time
 
 import numpy as np
 
@@ -92,3 +93,39 @@ def test_short_items_lose_nothing():
         found = {r["item_id"] for r in dc.regions(f"xx {edited} yy", index, dc.Q)}
         assert (n in found) == (n >= 24)
         assert (n in {r["item_id"] for r in dc.regions(f"xx {t} yy", index, dc.Q)}) == (n >= dc.Q)
+
+
+def test_repetitive_items_and_texts():
+    rng = random.Random(5)
+    for piece in ("a", "ab", "abcdefghijklm ", "the answer is no. "):
+        item = (piece * 100)[: rng.randint(120, 180)].strip()
+        index = dc.index([(1, item), (2, "something else " + item[:60])], dc.Q, dc.BUDGET)
+        assert index.repeats[0]
+        for length in (0, 50, len(item) - 4, len(item), 400):
+            t = list("x y z " * rng.randint(0, 9) + (piece * 400)[:length] + " tail of the text" * rng.randint(0, 3))
+            for _ in range(rng.randint(0, 9) if t else 0):
+                t[rng.randrange(len(t))] = "q"
+            text = "".join(t)
+            found = [r for r in dc.regions(text, index, dc.Q) if r["item_id"] == 1]
+            want = least_edits(dc.fold(text)[0], dc.fold(item)[0])
+            assert min((r["edits"] for r in found), default=None) == (want if want <= index.edits[0] else None)
+            assert all(a["end"] <= b["start"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_stretches_and_chunks_lose_nothing(monkeypatch):
+    item = "".join(random.Random(1).choices("abcdefgh ", k=200)).strip()
+    text = "".join(random.Random(2).choices("abcdefgh ", k=500)).join([item[:90] + "z" + item[91:]] * 9)
+    for items in ([(1, item)], [(1, "ab" * 100)]):
+        body = text if items[0][1] == item else "ab" * 900 + text + "ab" * 250
+        want = dc.regions(body, dc.index(items, dc.Q, dc.BUDGET), dc.Q)
+        monkeypatch.setattr(dc, "STRETCH", 64)
+        monkeypatch.setattr(dc, "CHUNK", 7)
+        assert dc.regions(body, dc.index(items, dc.Q, dc.BUDGET), dc.Q) == want and len(want) >= 9
+        monkeypatch.undo()
+
+
+def test_long_repetitive_text_ends():
+    index = dc.index([(1, "a" * 500)], dc.Q, dc.BUDGET)
+    begin = time.perf_counter()
+    assert len(dc.regions("a" * 1_000_000, index, dc.Q)) == 2000
+    assert time.perf_counter() - begin < 20
