@@ -6,13 +6,17 @@ The rest is laid out: blocks on lines of their own, paragraphs, headings, lists
 with bullets or numbers, indented by depth; table cells padded to the width of their column; white space kept in ``pre`` only.
 
 Null and empty pages give an empty text. Broken markup never fails: stray end tags are passed over and open elements close at
-the end. Elements deeper than ``DEEPEST`` are laid out as their ancestor at that depth.
+the end. Elements deeper than ``DEEPEST`` are laid out as their ancestor at that depth. A tag that never closes is text. Every
+page is read once from front to back, whatever its markup. Cells that span columns or rows keep those columns free. The text of
+a cell longer than ``WIDEST`` pushes the rest of its row aside instead of widening the column, and tables of a greater width than
+``PADDED`` are written without padding; no text is cut.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +24,11 @@ from pyspark.sql import DataFrame
 from adloom.llm.common import extended, map_text
 
 DEEPEST = 200
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+WIDEST = 200
+PADDED = 4000
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile(r"[>\"']")
+LONG_NUMBER = re.compile(r"&#[0-9]{4000,};?")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 BLANKS = re.compile(r"[ \t\r\n\f]+")
@@ -28,7 +36,7 @@ BLANKS = re.compile(r"[ \t\r\n\f]+")
 # Element classes and implied end tags of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas object svg math param meta link base area".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas object defs desc metadata symbol annotation annotation-xml param meta link base area".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split())
 BLOCK = SPACED | frozenset("div section article header footer nav aside main address form li dt dd tr caption thead tbody tfoot figcaption details summary dialog legend option optgroup body html center hgroup search".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -44,24 +52,95 @@ IMPLIED = {
 }
 IN_TABLE = frozenset("td th tr caption thead tbody tfoot colgroup".split())
 SCOPES = frozenset("table td th caption html template object".split())
+MOST_ACROSS, MOST_DOWN = 1000, 65534  # of colspan and rowspan
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "start", "alt")
+    __slots__ = ("tag", "children", "hidden", "start", "alt", "across", "down")
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1, alt: str = "") -> None:
-        self.tag, self.hidden, self.start, self.alt = tag, hidden, start, alt
+    def __init__(self, tag: str, hidden: bool = False, start: int = 1, alt: str = "", across: int = 1, down: int = 1) -> None:
+        self.tag, self.hidden, self.start, self.alt, self.across, self.down = tag, hidden, start, alt, across, down
         self.children: list[Node | str] = []
 
 
 def element(tag: str, raw: str) -> Node:
     if not raw.strip(" /"):
         return Node(tag, tag in UNSEEN)
-    given = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
+    given = {m[1].lower(): plain(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
     hidden = tag in UNSEEN or "hidden" in given or bool(HIDING.search(given.get("style", ""))) or tag == "input" and given.get("type", "").lower() == "hidden"
     start = int(given["start"]) if tag == "ol" and given.get("start", "").isdecimal() and len(given["start"]) < 10 else 1
     alt = given.get("alt", "") if tag == "img" else given.get("value", "") if tag == "input" else ""
-    return Node(tag, hidden, start, alt)
+    if tag not in ("td", "th"):
+        return Node(tag, hidden, start, alt)
+    return Node(tag, hidden, across=spanned(given.get("colspan"), MOST_ACROSS), down=spanned(given.get("rowspan"), MOST_DOWN))
+
+
+def spanned(given: str | None, most: int) -> int:
+    """A number of columns or rows; 1 if it is not one. No rows at all means all that follow."""
+    value = (given or "").strip()
+    if not (value.isascii() and value.isdecimal()):
+        return 1
+    n = int(value) if len(value) < 7 else most
+    return min(n, most) if n else most if most == MOST_DOWN else 1
+
+
+def plain(text: str) -> str:
+    """The text with its character references replaced; numbers too long to be one are unknown characters."""
+    return html.unescape(LONG_NUMBER.sub("\ufffd", text)) if "&" in text else text
+
+
+class Tags:
+    """Finds the tags of a page from front to back. What was seen further on, or was not there, is remembered, so that the time is
+    in proportion to the page even where tags never close."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = page.rfind(">")
+        self.special = (0, -1)  # no quote or ``>`` between these places, one at the second
+        self.name_end = (0, -1)
+        self.unclosed: set[int] = set()  # quotes from which no tag ends
+
+    def _next(self, known: tuple[int, int], pattern: re.Pattern, at: int) -> tuple[int, int]:
+        if known[0] <= at <= known[1]:
+            return known
+        m = pattern.search(self.page, at)
+        return at, m.start() if m else len(self.page)
+
+    def end(self, at: int) -> int | None:
+        """The place of the ``>`` that ends a tag whose attributes begin at ``at``; quoted ones are passed over."""
+        passed = []
+        while at <= self.last:
+            self.special = self._next(self.special, SPECIAL, at)
+            place = self.special[1]
+            if place >= len(self.page) or place in self.unclosed:
+                break
+            if self.page[place] == ">":
+                return place
+            passed.append(place)
+            at = self.page.find(self.page[place], place + 1) + 1
+            if not at:
+                break
+        self.unclosed.update(passed)
+        return None
+
+    def at(self, place: int) -> tuple[int, str, str, bool] | None:
+        """(place behind it, name, attributes, closing) of the tag or comment at ``place``; None if it is text."""
+        page = self.page
+        if page.startswith("<!--", place):
+            stop = page.find("-->", place + 4)
+            return (stop + 3 if stop >= 0 else len(page)), "", "", False
+        if place > self.last:
+            return None
+        if page.startswith(("<!", "<?"), place):
+            return page.find(">", place) + 1, "", "", False
+        closing = page.startswith("/", place + 1)
+        begin = place + 1 + closing
+        if not (page[begin : begin + 1].isascii() and page[begin : begin + 1].isalpha()):
+            return None
+        self.name_end = self._next(self.name_end, NAME_END, begin)
+        after = self.name_end[1]
+        stop = self.end(after)
+        return None if stop is None else (stop + 1, page[begin:after].lower(), page[after:stop], closing)
 
 
 def build(page: str) -> Node:
@@ -82,14 +161,19 @@ def build(page: str) -> Node:
         if cut is not None:
             del stack[cut:]
 
-    while m := TOKEN.search(page, at):
-        if m.start() > at:
-            stack[-1].children.append(html.unescape(page[at : m.start()]))
-        at = m.end()
-        tag = (m[2] or "").lower()
+    tags, look = Tags(page), page.find("<")
+    while look >= 0:
+        found = tags.at(look)
+        if not found:
+            look = page.find("<", look + 1)
+            continue
+        if look > at:
+            stack[-1].children.append(plain(page[at:look]))
+        at, tag, attributes, closing = found
+        look = page.find("<", at)
         if not tag:
             continue
-        if m[1]:
+        if closing:
             if tag == "br":
                 stack[-1].children.append(Node("br"))
             elif tag not in ("html", "body"):
@@ -100,22 +184,24 @@ def build(page: str) -> Node:
         if tag in IMPLIED:
             close(*IMPLIED[tag])
         if tag in ("html", "body"):
-            if element(tag, m[3]).hidden:
+            if element(tag, attributes).hidden:
                 root.hidden = True
             continue
-        node = element(tag, m[3])
+        node = element(tag, attributes)
         stack[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            body = page[at : end.start() if end else len(page)]
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            stop = page.find(">", end.end()) if end else -1
+            body = page[at : end.start() if stop >= 0 else len(page)]
             if tag in ("textarea", "title", "xmp"):
-                node.children.append(body if tag == "xmp" else html.unescape(body))
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/") or tag not in VOID and tag in BLOCK:
+                node.children.append(body if tag == "xmp" else plain(body))
+            at = stop + 1 if stop >= 0 else len(page)
+            look = page.find("<", at)
+        elif tag not in VOID and not attributes.endswith("/") or tag not in VOID and tag in BLOCK:
             if len(stack) < DEEPEST:
                 stack.append(node)
     if at < len(page):
-        stack[-1].children.append(html.unescape(page[at:]))
+        stack[-1].children.append(plain(page[at:]))
     return root
 
 
@@ -160,9 +246,70 @@ class Lines:
             self.gap = 1
 
 
+class Grid:
+    """Places the cells of a table in columns; those that span rows keep their columns in the rows below."""
+
+    def __init__(self) -> None:
+        self.rows: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines
+        self.held: list[tuple[int, int, int]] = []  # first column, end, first row that is free again
+
+    def row(self, cells: list[tuple[list[str], int, int]]) -> None:
+        now, at = len(self.rows), 0
+        self.held = [h for h in self.held if h[2] > now]
+        row, new, k = [], [], 0
+        for lines, across, down in cells:
+            while k < len(self.held) and self.held[k][0] <= at:
+                at = max(at, self.held[k][1])
+                k += 1
+            row.append((at, across, lines))
+            if down > 1:
+                if new and new[-1][1:] == (at, now + down):
+                    new[-1] = (new[-1][0], at + across, now + down)
+                else:
+                    new.append((at, at + across, now + down))
+            at += across
+        self.rows.append(row)
+        if new:
+            self.held = sorted(self.held + new)
+
+    def lines(self) -> list[str]:
+        # Columns in which no cell begins have no width of their own.
+        begins = sorted({at for row in self.rows for at, _, _ in row})
+        column = {at: i for i, at in enumerate(begins)}
+        widths = [0] * len(begins)
+        for row in self.rows:
+            for at, across, lines in row:
+                i = column[at]
+                size = max([0, *map(len, lines)])
+                if size <= WIDEST and (i + 1 == len(begins) or begins[i + 1] >= at + across):
+                    widths[i] = max(widths[i], size)
+        for row in self.rows if 2 * len(begins) <= PADDED else []:
+            for at, across, lines in row:
+                i, j = column[at], bisect_left(begins, at + across)
+                size = max([0, *map(len, lines)])
+                if size <= WIDEST and j - i > 1:
+                    widths[j - 1] += max(0, size - sum(widths[i:j]) - 2 * (j - i - 1))
+        offsets = [0]
+        for w in widths:
+            offsets.append(offsets[-1] + w + 2)
+        wide = offsets[-1] > PADDED
+        out = []
+        for row in self.rows:
+            for k in range(max([0, *(len(lines) for _, _, lines in row)])):
+                line = []
+                length = 0
+                for at, _, lines in row:
+                    blank = 2 * bool(line) if wide else max(offsets[column[at]] - length, 2 * bool(line))
+                    text = lines[k] if k < len(lines) else ""
+                    line.append(" " * blank + text)
+                    length += blank + len(text)
+                out.append("".join(line).rstrip(" "))
+        return out
+
+
 def table_lines(node: Node, depth: int) -> list[str]:
     """Rows of a table, cells padded to their column; cells of several lines fill as many lines."""
-    rows: list[list[list[str]]] = []
+    grid = Grid()
     lead: list[str] = []
     todo = [c for c in reversed(node.children)]
     while todo:
@@ -172,25 +319,16 @@ def table_lines(node: Node, depth: int) -> list[str]:
         elif c.hidden:
             continue
         elif c.tag in ("thead", "tbody", "tfoot"):
+            grid.held = []
             todo += reversed(c.children)
         elif c.tag == "tr":
             cells = [k for k in c.children if not (isinstance(k, str) and not k.strip()) and not (isinstance(k, Node) and k.hidden)]
-            rows.append([lay(k if isinstance(k, Node) else wrap(k), depth + 1) for k in cells])
+            grid.row([(lay(k, depth + 1), k.across, k.down) if isinstance(k, Node) else (lay(wrap(k), depth + 1), 1, 1) for k in cells])
         elif c.tag in ("td", "th"):
-            rows.append([lay(c, depth + 1)])
+            grid.row([(lay(c, depth + 1), c.across, c.down)])
         elif c.tag not in ("colgroup", "col"):
             lead += lay(c, depth + 1)
-    widths: list[int] = []
-    for row in rows:
-        for i, cell in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max([widths[i], *map(len, cell)])
-    out = lead
-    for row in rows:
-        for k in range(max([0, *map(len, row)])):
-            out.append("  ".join((cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)).rstrip(" "))
-    return out
+    return lead + grid.lines()
 
 
 def wrap(text: str) -> Node:
@@ -214,7 +352,7 @@ def lay(node: Node, depth: int = 0) -> list[str]:
                     out.end(2 if c[1].tag in SPACED else 1)
             continue
         if isinstance(c, str):
-            if any(p.tag in ("pre", "textarea", "xmp") for p in parents[-3:]):
+            if any(p.tag in ("pre", "textarea", "xmp") for p in parents):
                 first, *rest = c.split("\n")
                 out.now.append(first)
                 for x in rest:
@@ -265,7 +403,7 @@ def lay(node: Node, depth: int = 0) -> list[str]:
                     out.add(["---"])
                     out.gap = 2
                     continue
-            elif tag in ("td", "th") and out.now:
+            elif tag in ("td", "th", "text", "tspan") and out.now:
                 out.text(" ")
             parents.append(c)
             todo.append(("leave", c, 0))

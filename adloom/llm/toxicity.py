@@ -129,12 +129,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     """Learn from about ``per_label`` labelled documents of each label; labels other than 0 and 1 take no part.
 
     The labels are sampled by id before they meet the documents, so only about twice ``per_label`` ids are broadcast and no
-    text is shuffled but the sample's.
+    text is shuffled but the sample's. Equal texts are learned once, as toxic if at least half of their labels say so.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _id is not null")
     ids = label_sample(known.distinct(), "_id", "_label", per_label, 2)
     texts = docs.where(usable_text(text)).select(F.col(id_col).alias("_id"), F.col(text).alias(text))
-    sample = texts.join(F.broadcast(ids), "_id").select(text, F.col("_label").alias(label)).dropDuplicates([text])
+    sample = texts.join(F.broadcast(ids), "_id").groupBy(text).agg((F.avg("_label") >= 0.5).cast("int").alias(label))
     sample = materialize(sample, "toxicity-sample")
     totals = dict(sample.groupBy(label).count().collect())
     t1, t0 = totals.get(1, 0) + 1.0, totals.get(0, 0) + 1.0
