@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from adloom.functions.arrays import as_col, pad, split_tokens, take
 from adloom.functions.scalars import md5_int
 from adloom.functions.vectorized import Vectorized
-from adloom.operators.joins import lookup_join
+from adloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, cut_join, lookup_join
 from adloom.operators.vocab import OOV, PAD_IDX, VocabStats
 from adloom.session import materialize
 
@@ -41,18 +42,84 @@ def token_index(vocab: DataFrame, slots: int) -> DataFrame:
     return ordered.select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("maps"))
 
 
+def inline(stats: VocabStats) -> bool:
+    """Whether a vocabulary is small enough to be addressed inside each row."""
+    return stats.tokens <= INLINE_TOKENS and stats.bytes <= INLINE_BYTES
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A column to encode: a text, or an array of texts whose ``na_value`` is padding."""
+
+    column: str
+    feature: str
+    stats: VocabStats
+    na_value: str = ""
+
+
+def encode_columns(df: DataFrame, lookups: Sequence[Lookup], vocab: DataFrame, id_col: str | None = None) -> DataFrame:
+    """Replace several columns by ids (arrays by arrays of ids) in one pass, for vocabularies of any size.
+
+    All values become one narrow table (row id, column, position, token), which is looked up once, collected once by row id,
+    and joined back, so the wide row moves once however many columns there are. Hot tokens and nulls are not shuffled for the
+    lookup. Unknown and null values get the OOV id, padding tokens id 0. ``id_col`` is unique; without it rows are numbered.
+    """
+    keyed = df
+    if id_col is None:
+        # Written out once, so a retried task cannot number the rows differently.
+        id_col = "_rid"
+        keyed = materialize(df.withColumn(id_col, F.monotonically_increasing_id()), "rows")
+    arrays = [n for n, x in enumerate(lookups) if dict(df.dtypes)[x.column].startswith("array")]
+    stats = {x.feature: x.stats for x in lookups}
+    place = {f: i for i, f in enumerate(sorted(stats))}
+
+    def cell(n: int, pos: Column, token: Column) -> Column:
+        owner = F.lit(place[lookups[n].feature])
+        return F.struct(F.lit(n).alias("n"), pos.cast("int").alias("pos"), owner.alias("owner"), token.cast("string").alias("token"))
+
+    def cells(n: int, x: Lookup) -> Column:
+        if n not in arrays:
+            return F.array(cell(n, F.lit(0), F.col(x.column)))
+        return F.coalesce(F.transform(x.column, lambda t, i: cell(n, i, F.nullif(t, F.lit(x.na_value)))), F.array())
+
+    names = list(dict.fromkeys(x.column for x in lookups if x.column != id_col))
+    narrow = keyed.select(id_col, *names)
+    small = sum(s.tokens for s in stats.values()) <= BROADCAST_ROWS and sum(s.bytes for s in stats.values()) <= BROADCAST_BYTES
+    if small:
+        # Whole sequences move once; exploding, looking up and collecting then stay in place.
+        narrow = narrow.repartition(id_col)
+    parts = narrow.select(F.col(id_col).alias("_id"), F.inline(F.concat(*[cells(n, x) for n, x in enumerate(lookups)])))
+    owner = F.create_map(*[F.lit(v) for pair in place.items() for v in pair])[F.col("feature")]
+    entries = vocab.where(F.col("feature").isin(*place)).select(owner.alias("owner"), "token", "idx")
+    if small:
+        coded = parts.join(F.broadcast(entries), ["owner", "token"], "left")
+    else:
+        coded = cut_join(parts, entries, ["owner", "token"])
+    if arrays:
+        padding = F.col("token").isNull() & F.col("n").isin(*arrays)
+        coded = coded.withColumn("idx", F.when(padding, F.lit(PAD_IDX).cast("bigint")).otherwise(F.col("idx")))
+    lists = coded.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("n", "pos", "idx"))).alias("_cells"))
+
+    def ids(n: int, x: Lookup) -> Column:
+        mine = F.filter(F.coalesce("_cells", F.array().cast("array<struct<n:int,pos:int,idx:bigint>>")), lambda c: c["n"] == n)
+        found = F.transform(mine, lambda c: F.coalesce(c["idx"], F.lit(x.stats.oov_idx).cast("bigint")))
+        return (found if n in arrays else F.get(found, F.lit(0))).alias(x.column)
+
+    out = {x.column: ids(n, x) for n, x in enumerate(lookups)}
+    return keyed.join(lists, keyed[id_col] == lists["_id"], "left").select(*[out.get(c, F.col(c)) for c in df.columns])
+
+
 def encode_tokens(
     df: DataFrame, tokens: str, vocab: DataFrame, stats: VocabStats, out: str, na_value: str = "",
     id_col: str | None = None,
 ) -> DataFrame:
     """Array of tokens → array of ids, same order; the missing-value token is padding, others OOV.
 
-    A vocabulary of moderate size is addressed inside each row, without a shuffle. A larger one is
-    joined: rows are exploded, looked up (broadcast while it fits, else with hot tokens salted), and
-    collected again by row id.
+    A vocabulary of moderate size is addressed inside each row, without a shuffle. A larger one goes through
+    :func:`encode_columns`.
     """
-    oov = F.lit(stats.oov_idx).cast("bigint")
-    if stats.tokens <= INLINE_TOKENS and stats.bytes <= INLINE_BYTES:
+    if inline(stats):
+        oov = F.lit(stats.oov_idx).cast("bigint")
         slots = 1 << max(stats.tokens - 1, 1).bit_length()
 
         def look_up(t: Column) -> Column:
@@ -62,22 +129,21 @@ def encode_tokens(
         maps = token_index(vocab, slots).scalar()
         keep = [c for c in df.columns if c != out]
         return df.select("*", maps.alias("_maps")).select(*keep, F.transform(tokens, look_up).alias(out))
-    keyed = df
-    if id_col is None:
-        # Written out once, so a retried task cannot number the rows differently.
-        id_col = "_rid"
-        keyed = materialize(df.withColumn(id_col, F.monotonically_increasing_id()), "rows")
-    narrow = keyed.select(id_col, tokens)
-    if stats.small:
-        # Whole sequences move once; exploding, looking up and collecting then stay in place.
-        narrow = narrow.repartition(id_col)
-    parts = narrow.select(id_col, F.posexplode(tokens).alias("_pos", "_tok")).withColumn("_tok", F.nullif("_tok", F.lit(na_value)))
-    coded = lookup_join(parts, "_tok", vocab, "token", "idx", "_idx", oov, stats.small, stats.hot)
-    coded = coded.withColumn("_idx", F.when(F.col("_tok").isNull(), F.lit(PAD_IDX).cast("bigint")).otherwise(F.col("_idx")))
-    lists = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_idx"))).alias("_l"))
-    empty = F.array().cast("array<bigint>")
     keep = [c for c in df.columns if c != out]
-    return keyed.join(lists, id_col, "left").select(*keep, F.coalesce("_l._idx", empty).alias(out))
+    staged = df.select(*keep, F.col(tokens).alias("_coded"))
+    coded = encode_columns(staged, [Lookup("_coded", "tokens", stats, na_value)], vocab.withColumn("feature", F.lit("tokens")), id_col)
+    return coded.withColumnRenamed("_coded", out)
+
+
+def sequence_tokens(column: str, sep: str, max_len: int, padding: str = "pre", lower: bool = False) -> Column:
+    """The tokens of a delimited text that survive cutting to ``max_len``."""
+    return take(split_tokens(F.lower(column) if lower else F.col(column), sep), max_len, padding)
+
+
+def fixed_length(ids: str, max_len: int, padding: str = "pre") -> Column:
+    """Ids filled up to ``max_len`` with the padding id."""
+    fill = F.array_repeat(F.lit(PAD_IDX).cast("bigint"), F.greatest(F.lit(max_len) - F.size(ids), F.lit(0)))
+    return (F.concat(fill, F.col(ids)) if padding == "pre" else F.concat(F.col(ids), fill)).cast("array<int>")
 
 
 def encode_sequence(
@@ -89,17 +155,11 @@ def encode_sequence(
 
     Cutting comes first: tokens that cannot survive are never looked up.
     """
-    text = F.lower(column) if lower else F.col(column)
-    tokens = take(split_tokens(text, sep), max_len, padding)
     own = vocab.where(F.col("feature") == (feature or column))
-    staged = df.withColumn("_toks", tokens)
+    staged = df.withColumn("_toks", sequence_tokens(column, sep, max_len, padding, lower))
     coded = encode_tokens(staged, "_toks", own, stats, "_ids", na_value, id_col)
     keep = [c for c in df.columns if c != (out or column)]
-    zero = F.lit(PAD_IDX).cast("bigint")
-    n = F.greatest(F.lit(max_len) - F.size("_ids"), F.lit(0))
-    fill = F.array_repeat(zero, n)
-    fixed = F.concat(fill, F.col("_ids")) if padding == "pre" else F.concat(F.col("_ids"), fill)
-    return coded.select(*keep, fixed.cast("array<int>").alias(out or column))
+    return coded.select(*keep, fixed_length("_ids", max_len, padding).alias(out or column))
 
 
 def pad_longest(df: DataFrame, column: str, value: object = 0, padding: str = "pre") -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.session import shuffle_partitions
+
 # A lookup table is broadcast only when it was counted and fits this many rows / bytes.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
 
 
 def null_safe_join(
@@ -67,6 +68,48 @@ def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     return null_safe_join(left, right.select(*on), on, "left_anti")
 
 
+def hot_hashes(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> list[int]:
+    """Hashes of the keys that hold more rows than half a shuffle partition should.
+
+    Counted by Spark's mergeable frequent-items sketch in one narrow aggregate, so the list is bounded by twice the number of
+    shuffle partitions. The sketch tracks eight times as many items as are wanted. The sketch misses no key above an eighth of that share by more than its error of a fiftieth.
+    """
+    wanted = 2 * shuffle_partitions(df.sparkSession)
+    rows = df if null_safe else df.dropna(subset=list(keys))
+    top = F.expr(f"approx_top_k(_hash, {wanted}, {max(8 * wanted, 1024)})")
+    found = rows.select(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return sorted(r["item"] for r in found["top"] or [] if r["count"] * wanted >= found["n"] and r["count"] > 1)
+
+
+def cut_join(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", known: Sequence[int] = (), null_safe: bool = False,
+) -> DataFrame:
+    """Join with a table too large to broadcast, cut in two at the hot keys of ``df``.
+
+    Rows with a hot key stay where they are and meet a broadcast of these keys' entries; all others are shuffled. ``how`` is
+    'left' or 'inner'; both sides name their keys alike. Null keys match nothing (each other where ``null_safe``) and are not
+    shuffled. ``known`` are hashes of keys known to be hot. The entries are measured before they are broadcast.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be left or inner, not {how!r}")
+    renamed = table.select(
+        *[F.col(k).cast(df.schema[k].dataType).alias(f"_r_{k}") for k in keys], *[F.col(c) for c in table.columns if c not in keys]
+    )
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) if null_safe else F.col(k) == F.col(f"_r_{k}") for k in keys]
+        return left.join(right, reduce(lambda a, b: a & b, same), how).drop(*[f"_r_{k}" for k in keys])
+
+    hot = sorted({*hot_hashes(df, keys, null_safe), *known})
+    is_hot = F.xxhash64(*keys).isin(*hot) if hot else F.lit(False)
+    if not null_safe:
+        is_hot = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], is_hot)
+    entries = renamed.where(F.xxhash64(*[f"_r_{k}" for k in keys]).isin(*hot) if hot else F.lit(False))
+    if not fits_broadcast(entries):
+        return joined(df, renamed)
+    return joined(df.where(is_hot), F.broadcast(entries)).unionByName(joined(df.where(~is_hot), renamed))
+
+
 def lookup_join(
     df: DataFrame,
     key: str,
@@ -80,29 +123,15 @@ def lookup_join(
 ) -> DataFrame:
     """Add ``out`` = the table's value for ``key``, or ``default`` when it is missing.
 
-    ``small`` tables (checked by the caller) are broadcast. Others are shuffled: rows with a null or
-    hot key are spread over salts, and only the hot entries of the table are repeated once per salt,
-    so one key holding a third of all rows still reaches many tasks.
+    ``small`` tables (checked by the caller) are broadcast. Others go through :func:`cut_join`, so one key holding a third of
+    all rows is not shuffled; ``hot_keys`` are keys known to be hot besides those that are measured.
     """
     entries = table.select(F.col(table_key).alias("_tk"), F.col(table_value).alias("_tv"))
+    keep = [c for c in df.columns if c != out]
+    keyed = df.withColumn("_tk", F.col(key))
     if small:
-        joined = df.join(F.broadcast(entries), F.col(key) == F.col("_tk"), "left")
+        joined = keyed.join(F.broadcast(entries), "_tk", "left")
     else:
-        # From the row's content, so a recomputed task sends each row to the same place again.
-        content = [c for c, t in df.dtypes if "map<" not in t]
-        spread = F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int")
-        is_hot = F.col(key).isNull()
-        hot_entry = F.lit(False)
-        if hot_keys:
-            is_hot = is_hot | F.col(key).isin(*hot_keys)
-            hot_entry = F.col("_tk").isin(*hot_keys)
-        salted = df.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
-        repeated = entries.withColumn(
-            "_ts", F.explode(F.when(hot_entry, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-        )
-        joined = salted.join(
-            repeated, (F.col(key) == F.col("_tk")) & (F.col("_salt") == F.col("_ts")), "left"
-        ).drop("_salt", "_ts")
-    value = F.coalesce(F.col("_tv"), default)
-    keep = [c for c in df.columns if c != out]
-    return joined.select(*keep, value.alias(out))
+        known = df.sparkSession.range(1).select(*[F.xxhash64(F.lit(k)) for k in hot_keys]).first() if hot_keys else ()
+        joined = cut_join(keyed, entries, ["_tk"], "left", tuple(known))
+    return joined.select(*keep, F.coalesce(F.col("_tv"), default).alias(out))

@@ -14,11 +14,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adloom.functions.arrays import as_col
-from adloom.operators.joins import SALTS, fits_broadcast, null_safe_join
+from adloom.operators.joins import cut_join, fits_broadcast, null_safe_join
 from adloom.operators.metrics import TINY, top_k
 
 MAX_ORDER = 5
 MASKED_SCORE = -1e9
+# exp(-SPAN) is far above the smallest double.
+SPAN = 256.0
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -96,13 +98,18 @@ def target_attention(
     """Softmax-weighted sum of an entity's item vectors, scored against its target vector.
 
     (entity, dim, value). ``targets`` has one vector per entity; ``mask`` is a 0/1 column of items. The softmax is
-    computed from per-entity maxima and sums, so an entity may have any number of items.
+    computed in one aggregate of mergeable sums, so an entity may have any number of items; each is scored once. The items of a
+    hot entity are not shuffled to a large table of targets.
     """
     t = targets.select(entity, doubles(target).alias("_t"))
-    cols = [entity, doubles(vector).alias("_v"), F.pmod(F.xxhash64(vector), F.lit(SALTS)).alias("_salt")]
+    cols = [entity, doubles(vector).alias("_v")]
     if mask:
         cols.append(F.col(mask).alias("_mask"))
-    joined = null_safe_join(items.select(*cols), t, [entity], "inner", broadcast=fits_broadcast(t))
+    narrow = items.select(*cols)
+    if fits_broadcast(t):
+        joined = null_safe_join(narrow, t, [entity], "inner", broadcast=True)
+    else:
+        joined = cut_join(narrow, t, [entity], "inner", null_safe=True)
     width = F.floor(F.size("_v") / heads).cast("int")
     parts = F.transform(
         F.sequence(F.lit(0), F.lit(heads - 1)),
@@ -116,18 +123,18 @@ def target_attention(
     score = F.col("p.dot") / F.sqrt(F.size("p.v").cast("double")) if use_scale else F.col("p.dot")
     if mask:
         score = F.when(F.col("_mask") == 0, F.lit(MASKED_SCORE)).otherwise(score)
-    scored = scored.select(entity, "_salt", "p.head", F.col("p.v").alias("_hv"), score.alias("_s"))
-    # Each salt of an entity is normalised by its own maximum; the parts are rescaled when combined.
-    cell = [entity, "head", "_salt"]
-    top = scored.groupBy(*cell).agg(F.max("_s").alias("_top"))
-    weighted = null_safe_join(scored, top, cell, "inner").withColumn("_w", F.exp(F.col("_s") - F.col("_top")))
+    scored = scored.select(entity, "p.head", F.col("p.v").alias("_hv"), score.alias("_s"))
+    # Scores are cut into ranges as wide as a double can hold; weights are relative to the upper end of their range, so they
+    # add up in one aggregate with partial sums. Ranges are rescaled when they meet: there are few of them per entity.
+    ranged = scored.withColumn("_range", F.floor(F.col("_s") / SPAN))
+    weighted = ranged.withColumn("_w", F.exp(F.col("_s") - (F.col("_range") + 1) * SPAN))
     sums = (
-        weighted.select(*cell, "_top", "_w", F.posexplode("_hv").alias("d", "x"), F.size("_hv").alias("width"))
-        .groupBy(*cell, "_top", "width", "d")
+        weighted.select(entity, "head", "_range", "_w", F.posexplode("_hv").alias("d", "x"), F.size("_hv").alias("width"))
+        .groupBy(entity, "head", "width", "d", "_range")
         .agg(F.sum(F.col("_w") * F.col("x")).alias("_num"), F.sum("_w").alias("_den"))
     )
-    highest = F.max("_top").over(W.partitionBy(entity, "head", "d"))
-    rescaled = sums.withColumn("_f", F.exp(F.col("_top") - highest))
+    highest = F.max("_range").over(W.partitionBy(entity, "head", "d"))
+    rescaled = sums.withColumn("_f", F.exp((F.col("_range") - highest) * SPAN))
     return rescaled.groupBy(entity, (F.col("head") * F.col("width") + F.col("d")).cast("int").alias("dim")).agg(
         (F.sum(F.col("_num") * F.col("_f")) / F.sum(F.col("_den") * F.col("_f"))).alias("value")
     )
@@ -142,17 +149,19 @@ def squeeze(df: DataFrame, key: str, vector: str) -> DataFrame:
 def embedding_lookup(df: DataFrame, entity: str, ids: str, table: DataFrame, idx: str = "idx", vector: str = "vector") -> DataFrame:
     """(entity, pos, vector) for each id of an id or id-array column; ids without a vector are dropped.
 
-    A table that was counted and fits is broadcast; a larger one is shuffled with skewed parts split.
+    A table that was counted and fits is broadcast; beyond that only rows with ids that are not hot are shuffled.
     """
     kind = dict(df.dtypes)[ids]
     long = (
         df.select(entity, F.posexplode(ids).alias("pos", "_id"))
         if kind.startswith("array") else df.select(entity, F.lit(0).alias("pos"), F.col(ids).alias("_id"))
     )
-    vectors = table.select(F.col(idx).alias("_idx"), doubles(vector).alias("vector"))
+    vectors = table.select(F.col(idx).alias("_id"), doubles(vector).alias("vector"))
     if fits_broadcast(vectors):
-        vectors = F.broadcast(vectors)
-    return long.join(vectors, F.col("_id") == F.col("_idx")).select(entity, "pos", "vector")
+        found = long.join(F.broadcast(vectors), "_id")
+    else:
+        found = cut_join(long, vectors, ["_id"], "inner")
+    return found.select(entity, "pos", "vector")
 
 
 def numeric_embedding(df: DataFrame, entity: str, value: str, weights: Sequence[float]) -> DataFrame:

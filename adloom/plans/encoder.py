@@ -89,7 +89,8 @@ class FittedEncoder:
     def transform(self, df: DataFrame, prepared: bool = False, keep: Sequence[str] = (), id_col: str | None = None) -> DataFrame:
         """Encode a table: ``keep`` columns, features in spec order, then labels.
 
-        ``id_col`` (unique) is only used by sequence vocabularies too large to broadcast. Streams go through
+        Columns with vocabularies too large for the row are looked up together, in one narrow pass; ``id_col`` (unique) is
+        only used there. Streams go through
         :func:`adloom.streaming.jobs.transform_stream`, which applies this plan to each micro-batch.
         """
         if df.isStreaming:
@@ -99,8 +100,10 @@ class FittedEncoder:
             raise ValueError(f"the table lacks the feature columns {absent}")
         if not prepared:
             df = prepare(df, self.specs, self.labels, keep)
-        for s in self.specs:
-            if s.name not in df.columns or not s.active:
+        present = [s for s in self.specs if s.name in df.columns and s.active]
+        together = self._looked_up_together(present)
+        for s in present:
+            if s in together:
                 continue
             if s.type == "numeric":
                 normalizer = self._normalizer(s) if s.normalizer else None
@@ -112,10 +115,35 @@ class FittedEncoder:
                 df = self._sequence(df, s, id_col)
             else:
                 df = df.withColumn(s.name, F.col(s.name).cast(spark_type(s.dtype)))
+        if together:
+            df = self._all_at_once(df, together, id_col)
         names = [s.name for s in self.specs if s.active and s.name in df.columns]
         names += [x.name for x in self.labels if x.name in df.columns]
         return df.select(*[c for c in keep if c not in names], *names)
 
+    def _looked_up_together(self, present: Sequence[FeatureSpec]) -> list[FeatureSpec]:
+        """Features whose vocabularies fit neither the row nor (categories) a broadcast; a single category is joined by itself."""
+        with_ids = [s for s in present if s.has_vocab and s.type != "numeric"]
+        large = [s for s in with_ids if s.type != "sequence" and not self.stats[self.owner(s)].small]
+        long = [s for s in with_ids if s.type == "sequence" and not enc.inline(self.stats[self.owner(s)])]
+        return [*large, *long] if long or len(large) > 1 else []
+
+    def _all_at_once(self, df: DataFrame, features: Sequence[FeatureSpec], id_col: str | None) -> DataFrame:
+        def tokens(s: FeatureSpec) -> Column:
+            if s.type == "sequence":
+                return enc.sequence_tokens(s.name, s.splitter, self.max_len[s.name], s.padding, s.lower)
+            return F.lower(F.col(s.name).cast("string")) if s.lower else F.col(s.name).cast("string")
+
+        if id_col is not None and any(s.name == id_col for s in features):
+            raise ValueError(f"id_col {id_col!r} is itself encoded")
+        df = df.withColumns({s.name: tokens(s) for s in features})
+        lookups = [enc.Lookup(s.name, self.owner(s), self.stats[self.owner(s)], s.na_value) for s in features]
+        df = enc.encode_columns(df, lookups, self.vocab, id_col)
+        return df.withColumns({
+            s.name: enc.fixed_length(s.name, self.max_len[s.name], s.padding) if s.type == "sequence" else F.col(s.name).cast("int")
+            for s in features
+        })
+
     def _categorical(self, df: DataFrame, s: FeatureSpec) -> DataFrame:
         if s.category_processor == "quantile_bucket":
             return df.withColumn(s.name, enc.quantile_bucket(s.name, self.boundaries[s.name]))

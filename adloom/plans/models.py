@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.scalars import hash_probability
-from adloom.operators.joins import fits_broadcast
+from adloom.operators.joins import cut_join, fits_broadcast
 from adloom.operators.metrics import curve_metrics, evaluate
 from adloom.plans.submission import positive_class
 from adloom.session import materialize
@@ -123,7 +123,7 @@ def category_rate_baseline(train: DataFrame, df: DataFrame, key: str, category:
     overall = train.agg(F.avg(F.col(label).cast("double"))).scalar()
     rates = train.groupBy(category).agg(F.sum(F.col(label).cast("double")).alias("_c"), F.count(F.lit(1)).alias("_n"))
     rates = materialize(rates, "rates")
-    small = fits_broadcast(rates)
-    joined = df.select(key, category).join(F.broadcast(rates) if small else rates, category, "left")
+    narrow = df.select(key, category)
+    joined = narrow.join(F.broadcast(rates), category, "left") if fits_broadcast(rates) else cut_join(narrow, rates, [category])
     smoothed = (F.coalesce("_c", F.lit(0.0)) + overall * prior_rows) / (F.coalesce("_n", F.lit(0)) + prior_rows)
     return joined.select(key, smoothed.alias(out))

@@ -195,6 +195,48 @@ def _(spark, sf):
     return out.select("doc_id", joined_ids("ids").alias("ids"))
 
 
+def _large_sql() -> str:
+    def column(feature: str, n: int, fill: str) -> str:
+        ids = fill.format(k=f"CAST({n} - {feature}.m AS INTEGER)", l=f"{feature}.l")
+        return f"CASE WHEN {feature}.l IS NULL THEN '0' || repeat(',0', {n - 1}) ELSE {ids} END AS {feature}"
+
+    def category(name: str) -> str:
+        found, unknown = (f"(SELECT idx FROM voc WHERE feature = '{name}' AND token = {t})" for t in (f"d.{name}", "'__OOV__'"))
+        return f"CAST(coalesce({found}, {unknown}) AS INTEGER) AS {name}"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {tokens_sql('text')} AS w, {tokens_sql('text', '.')} AS p FROM documents),
+long AS (SELECT 'lang' AS feature, lang AS token FROM d UNION ALL SELECT 'source', source FROM d
+  UNION ALL SELECT 'words', unnest(w) FROM d UNION ALL SELECT 'parts', unnest(p) FROM d),
+cc AS (SELECT feature, token, count(*) AS cnt FROM long GROUP BY 1, 2), f AS (SELECT * FROM cc WHERE cnt >= 2 AND token <> ''),
+{vocab_sql('f', features='cc')},
+cut AS (SELECT doc_id, 'words' AS feature, w[greatest(len(w) - 39, 1):] AS t FROM d UNION ALL SELECT doc_id, 'parts', p[1:20] FROM d),
+e AS (SELECT doc_id, feature, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM cut),
+c AS (SELECT e.doc_id, e.feature, pos, CASE WHEN e.token = '' THEN 0 ELSE coalesce(v.idx, o.idx) END AS idx
+  FROM e LEFT JOIN voc v ON v.feature = e.feature AND v.token = e.token JOIN voc o ON o.feature = e.feature AND o.token = '__OOV__'),
+g AS (SELECT doc_id, feature, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY pos) AS l, count(*) AS m FROM c GROUP BY 1, 2)
+SELECT d.doc_id, {category('lang')}, {category('source')}, {column('words', 40, "repeat('0,', {k}) || {l}")}, {column('parts', 20, "{l} || repeat(',0', {k})")}
+FROM d LEFT JOIN g words ON words.doc_id = d.doc_id AND words.feature = 'words' LEFT JOIN g parts ON parts.doc_id = d.doc_id AND parts.feature = 'parts'"""
+
+
+@query("enc_table_large", _large_sql())
+def _(spark, sf):
+    """Two categories and two sequences, all with vocabularies taken as past every limit: one narrow lookup for the four."""
+    from dataclasses import replace
+
+    from adloom.operators.joins import BROADCAST_ROWS
+
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.col("text").alias("words"), F.col("text").alias("parts"))
+    fitted = plan.fit(docs, [
+        {"name": ["lang", "source"], "type": "categorical", "dtype": "str"},
+        {"name": "words", "type": "sequence", "dtype": "str", "splitter": " ", "max_len": 40},
+        {"name": "parts", "type": "sequence", "dtype": "str", "splitter": ".", "max_len": 20, "padding": "post"},
+    ], [], min_categr_count=2)
+    fitted = replace(fitted, stats={k: replace(v, tokens=BROADCAST_ROWS + 1) for k, v in fitted.stats.items()})
+    out = fitted.transform(docs, keep=["doc_id"], id_col="doc_id")
+    return out.select("doc_id", "lang", "source", joined_ids("words").alias("words"), joined_ids("parts").alias("parts"))
+
+
 @query("enc_meta", f"""
 WITH {IMP}, sp AS (SELECT *, {hash_split_sql('id')} AS split, CAST(user_id * 3 + CAST(k AS INTEGER) % 11 AS VARCHAR) AS key FROM imp),
 a AS (SELECT key, row_number() OVER (ORDER BY key) AS idx FROM (SELECT DISTINCT key FROM sp WHERE split = 'train')),
