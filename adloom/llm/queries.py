@@ -87,30 +87,32 @@ def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.explode("regions").alias("r")).select("doc_id", "r.item_id", "r.start", "r.end", "r.edits")
 
 
-# The second replica: of the pages one in 100 has a flipped first letter, one in 100 has lost its last character.
+# The second replica, of each 100 pages: one has a flipped first letter, one has lost its last character, one is lost, one is there
+# three times, and one is there again under a new id.
 DAMAGE = 100
+NEW_ID = 1_000_000_000_000
 
 
-def replica(body: Column, page_id: Column) -> Column:
-    at = F.pmod(F.coalesce(page_id, F.lit(-1)) * 7919, F.lit(DAMAGE))
+def replica(body: Column, page_id: Column) -> tuple[Column, Column]:
+    """The body in the second replica, and the ids under which it is there."""
+    at = F.pmod(page_id * 7919, F.lit(DAMAGE))
     cut = F.substring(body, 1, F.greatest(F.length(body) - 1, F.lit(0)))
-    return F.when(at == 7, F.concat(F.lit("#"), F.substring(body, 2, 1 << 30))).when(at == 11, cut).otherwise(body)
+    text = F.when(at == 7, F.concat(F.lit("#"), F.substring(body, 2, 1 << 30))).when(at == 11, cut).otherwise(body)
+    ids = F.when(at == 13, F.array().cast("array<bigint>")).when(at == 17, F.array_repeat(page_id, 3))
+    return text, ids.when(at == 19, F.array(page_id, page_id + NEW_ID)).otherwise(F.array(page_id))
 
 
 @query
 def op9_merkle(spark: SparkSession, sf: str) -> DataFrame:
-    """Damaged records of a second replica of all pages, by number, offset, and digest and length on both sides."""
+    """Records in which a second replica of all pages differs: copies and offset on both sides."""
+    page = F.coalesce(F.col("page_id").cast("bigint"), F.lit(-1).cast("bigint"))
+    text, ids = replica(F.col("html"), page)
+    sides = [F.struct(*warc.leaf(warc.record(F.col("url"), body))).alias(n) for n, body in (("a", F.col("html")), ("b", text))]
     pages = table(spark, sf, "pages")
-    sides = [F.struct(*warc.leaf(warc.record(F.col("url"), b))).alias(n) for n, b in (("a", F.col("html")), ("b", replica(F.col("html"), F.col("page_id"))))]
-    key = F.coalesce(F.col("page_id"), F.lit(-1)).alias("page")
-    rows = pages.select(key, F.coalesce("url", F.lit("")).alias("url"), *sides)
-    leaves = materialize(rows.select("page", "url", F.col("a.hash").alias("digest"), F.col("a.length").alias("length"), "b"), "leaves")
-    leaves = materialize(warc.numbered(leaves, ["page", "url", "digest"]), "numbered")
-    one = leaves.select("node", F.col("digest").alias("hash"), "length")
-    two = leaves.select("node", F.col("b.hash").alias("hash"), F.col("b.length").alias("length"))
-    found = warc.audit(one, two).select("node", "hash_a", "hash_b", "length_a", "length_b")
-    out = found.join(leaves.select("node", "page", "offset"), "node")
-    return out.select(F.col("page").alias("page_id"), F.col("node").alias("record"), "offset", "hash_a", "hash_b", "length_a", "length_b")
+    both = materialize(pages.select(page.alias("page"), F.coalesce("url", F.lit("")).alias("url"), ids.alias("ids"), *sides), "records")
+    one = both.select("page", "url", "a.*")
+    two = both.select(F.explode("ids").alias("page"), "url", "b.*")
+    return warc.audit(one, two).withColumnRenamed("page", "page_id")
 
 
 @query
@@ -157,14 +159,17 @@ def _record_sql(body: str) -> str:
 
 
 ORACLES["op9_merkle"] = f"""
-WITH p AS (SELECT coalesce(page_id, -1) AS page_id, coalesce(url, '') AS url, coalesce(html, '') AS body FROM pages),
-d AS (SELECT *, CASE (page_id * 7919) % {DAMAGE} WHEN 7 THEN '#' || substr(body, 2)
-  WHEN 11 THEN substr(body, 1, greatest(length(body) - 1, 0)) ELSE body END AS other FROM p),
-r AS (SELECT page_id, url, {_record_sql('body')} AS a, {_record_sql('other')} AS b FROM d),
-h AS (SELECT page_id, url, sha256(a) AS hash_a, sha256(b) AS hash_b, strlen(a) AS length_a, strlen(b) AS length_b FROM r),
-n AS (SELECT *, row_number() OVER w - 1 AS record, CAST(sum(length_a) OVER w AS BIGINT) - length_a AS "offset" FROM h
-  WINDOW w AS (ORDER BY page_id, url, hash_a ROWS UNBOUNDED PRECEDING))
-SELECT page_id, record, "offset", hash_a, hash_b, length_a, length_b FROM n WHERE hash_a <> hash_b
+WITH p AS (SELECT coalesce(page_id, -1) AS page_id, coalesce(url, '') AS url, coalesce(html, '') AS body, coalesce(page_id, -1) * 7919 AS h FROM pages),
+d AS (SELECT *, (h % {DAMAGE} + {DAMAGE}) % {DAMAGE} AS kind FROM p),
+e AS (SELECT *, CASE kind WHEN 7 THEN '#' || substr(body, 2) WHEN 11 THEN substr(body, 1, greatest(length(body) - 1, 0)) ELSE body END AS other,
+  CASE kind WHEN 13 THEN CAST([] AS BIGINT[]) WHEN 17 THEN [page_id, page_id, page_id] WHEN 19 THEN [page_id, page_id + {NEW_ID}] ELSE [page_id] END AS ids FROM d),
+r AS (SELECT 'a' AS side, page_id, url, {_record_sql('body')} AS t FROM e UNION ALL SELECT 'b', unnest(ids), url, {_record_sql('other')} FROM e),
+g AS (SELECT side, page_id, url, sha256(t) AS hash, strlen(t) AS length, count(*) AS copies FROM r GROUP BY 1, 2, 3, 4, 5),
+n AS (SELECT *, CAST(sum(length * copies) OVER (PARTITION BY side ORDER BY page_id, url, hash ROWS UNBOUNDED PRECEDING) AS BIGINT) - length * copies AS "offset" FROM g),
+a AS (SELECT * FROM n WHERE side = 'a'), b AS (SELECT * FROM n WHERE side = 'b')
+SELECT page_id, url, hash, coalesce(a.length, b.length) AS length, coalesce(a.copies, 0) AS copies_a, coalesce(b.copies, 0) AS copies_b,
+  a."offset" AS offset_a, b."offset" AS offset_b
+FROM a FULL JOIN b USING (page_id, url, hash) WHERE coalesce(a.copies, 0) <> coalesce(b.copies, 0)
 """
 
 ORACLES["op3_ngram_join"] = r"""
