@@ -17,12 +17,14 @@ from adloom.operators.metrics import cell_metrics, evaluate, score_cells
 from adloom.operators.ranking import with_rank
 from adloom.operators.vocab import with_reserved
 from adloom.plans.encoder import FittedEncoder
-from adloom.session import remove_path
+from adloom.session import materialize, remove_path
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 100, pattern: str | None = None) -> DataFrame:
-    """Arriving Parquet files."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = 100, pattern: str | None = None) -> DataFrame:
+    """Arriving Parquet files, at most ``max_files`` in a batch (None: all that have arrived)."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)
@@ -110,7 +112,8 @@ def running_metric_stream(stream: DataFrame, label: str, score: str, out: str, c
     """
 
     def step(cells: DataFrame, batch_id: int) -> None:
-        found = cell_metrics(cells).select("auc", "ap", "logloss", "wll", (F.col("n_pos") + F.col("n_neg")).cast("bigint").alias("n"))
+        # The metrics take several passes, each of which would read the batch and write the state again.
+        found = cell_metrics(materialize(cells, "cells")).select("auc", "ap", "logloss", "wll", (F.col("n_pos") + F.col("n_neg")).cast("bigint").alias("n"))
         found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     cells = score_cells(stream, label, score)

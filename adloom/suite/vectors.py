@@ -327,11 +327,15 @@ def _(spark, sf):
 
 
 def _staged(spark, sf, parts: int = 4):
-    """The impressions as a folder of files arriving in id order, and its schema."""
+    """The impressions as a folder of files in id order, its schema, and how many files make ``parts`` batches.
+
+    There are as many files as the scan has tasks, or a few more, so that no task writes a fixed share of the table.
+    """
     path = scratch_path(spark, "arriving")
     imp = impressions(spark, sf)
-    imp.repartitionByRange(parts, "id").sortWithinPartitions("id").write.parquet(path)
-    return path, imp.schema
+    files = -(-imp.rdd.getNumPartitions() // parts)
+    imp.repartitionByRange(parts * files, "id").sortWithinPartitions("id").write.parquet(path)
+    return path, imp.schema, files
 
 
 def _run(stream_query):
@@ -341,35 +345,35 @@ def _run(stream_query):
 @query("str_transform", _table_sql(f"SELECT id, event_type, hour, dow, {s6('value')} AS value, clicked FROM enc"))
 def _(spark, sf):
     _, fitted = fit_table(spark, sf)
-    path, schema = _staged(spark, sf)
+    path, schema, files = _staged(spark, sf)
     out = scratch_path(spark, "encoded")
-    _run(jobs.transform_stream(jobs.file_stream(spark, path, schema, 1), fitted, out, scratch_path(spark, "ckpt"), ["id"]))
+    _run(jobs.transform_stream(jobs.file_stream(spark, path, schema, files), fitted, out, scratch_path(spark, "ckpt"), ["id"]))
     return spark.read.parquet(out).drop("batch").select("id", "event_type", "hour", "dow", r6("value").alias("value"), "clicked")
 
 
 @query("str_counts", f"WITH {IMP} SELECT event_type, count(*) AS cnt, min(value) AS min_value, max(value) AS max_value FROM imp GROUP BY 1")
 def _(spark, sf):
-    path, schema = _staged(spark, sf)
+    path, schema, files = _staged(spark, sf)
     out = scratch_path(spark, "counts")
-    _run(jobs.count_stream(jobs.file_stream(spark, path, schema, 1), "event_type", "value", out, scratch_path(spark, "ckpt")))
+    _run(jobs.count_stream(jobs.file_stream(spark, path, schema, files), "event_type", "value", out, scratch_path(spark, "ckpt")))
     return jobs.latest(spark, out)
 
 
 @query("str_vocab", f"WITH {IMP}, cc AS (SELECT DISTINCT 'user_id' AS feature, CAST(user_id AS VARCHAR) AS token FROM imp), {vocab_sql('cc')} SELECT token, idx FROM voc")
 def _(spark, sf):
     """All files in one batch: the stream's vocabulary equals the batch one."""
-    path, schema = _staged(spark, sf)
+    path, schema, _ = _staged(spark, sf)
     out = scratch_path(spark, "vocab")
-    _run(jobs.vocab_stream(jobs.file_stream(spark, path, schema), "user_id", "id", out, scratch_path(spark, "ckpt")))
+    _run(jobs.vocab_stream(jobs.file_stream(spark, path, schema, None), "user_id", "id", out, scratch_path(spark, "ckpt")))
     return jobs.growing_vocab(spark, out, "user_id").select("token", "idx")
 
 
-def _dealt(spark, sf):
-    """The impressions as four files, by the remainder of the id, and their schema."""
+def _dealt(spark, sf, run):
+    """The impressions arrive in four parts, by the remainder of the id; ``run(path, schema)`` makes one batch of each."""
     path, imp = scratch_path(spark, "dealt"), impressions(spark, sf)
     for k in range(4):
-        imp.where(F.col("id") % 4 == k).coalesce(1).write.mode("append").parquet(path)
-    return path, imp.schema
+        imp.where(F.col("id") % 4 == k).write.mode("append").parquet(path)
+        _run(run(path, imp.schema))
 
 
 @query("str_vocab_growing", f"""
@@ -379,11 +383,14 @@ n AS (SELECT token, row_number() OVER (ORDER BY batch, CASE WHEN batch = 0 THEN
 SELECT token, idx FROM n UNION ALL SELECT '__PAD__', 0 UNION ALL SELECT '__OOV__', (SELECT count(*) + 1 FROM n)
 """)
 def _(spark, sf):
-    """One file per batch: tokens of the first are numbered in order, later ones follow as they arrive."""
-    path, schema = _dealt(spark, sf)
-    out = scratch_path(spark, "vocab")
-    stream = jobs.file_stream(spark, path, schema, 1).withColumn("key", F.col("user_id") * 40 + F.col("k").cast("int") % 40)
-    _run(jobs.vocab_stream(stream, "key", "id", out, scratch_path(spark, "ckpt")))
+    """Four batches: tokens of the first are numbered in order, later ones follow as they arrive."""
+    out, ckpt = scratch_path(spark, "vocab"), scratch_path(spark, "ckpt")
+
+    def run(path, schema):
+        stream = jobs.file_stream(spark, path, schema, None).withColumn("key", F.col("user_id") * 40 + F.col("k").cast("int") % 40)
+        return jobs.vocab_stream(stream, "key", "id", out, ckpt)
+
+    _dealt(spark, sf, run)
     return jobs.growing_vocab(spark, out, "key").select("token", "idx")
 
 
@@ -397,15 +404,14 @@ SELECT CAST(batch AS INTEGER) AS batch, {s6('auc')} AS auc, {s6('ap')} AS ap, {s
 """)
 def _(spark, sf):
     """Metrics of everything seen so far, after each of four batches."""
-    path, schema = _dealt(spark, sf)
-    out = scratch_path(spark, "running")
-    _run(jobs.running_metric_stream(jobs.file_stream(spark, path, schema, 1), "clicked", "score", out, scratch_path(spark, "ckpt")))
+    out, ckpt = scratch_path(spark, "running"), scratch_path(spark, "ckpt")
+    _dealt(spark, sf, lambda path, schema: jobs.running_metric_stream(jobs.file_stream(spark, path, schema, None), "clicked", "score", out, ckpt))
     return spark.read.parquet(out).select("batch", *[r6(c).alias(c) for c in ("auc", "ap", "logloss")], "n")
 
 
 @query("str_metrics", f"WITH {IMP} SELECT 'logloss' AS metric, {s6(f'avg({LOSS})')} AS value FROM imp")
 def _(spark, sf):
-    path, schema = _staged(spark, sf)
+    path, schema, _ = _staged(spark, sf)
     out = scratch_path(spark, "history")
-    _run(jobs.metric_stream(jobs.file_stream(spark, path, schema), ["logloss"], "clicked", "score", out, scratch_path(spark, "ckpt")))
+    _run(jobs.metric_stream(jobs.file_stream(spark, path, schema, None), ["logloss"], "clicked", "score", out, scratch_path(spark, "ckpt")))
     return jobs.latest(spark, out).select("metric", r6("value").alias("value"))

@@ -105,3 +105,33 @@ def test_metrics_of_all_rows_so_far(spark, tmp_path):
             assert got[name] == pytest.approx(want[name], abs=1e-12)
         assert got.auc == pytest.approx(metrics.auc(seen, "y", "p").first().auc, abs=1e-12)
         assert got.logloss == pytest.approx(metrics.log_loss(seen, "y", "p").first().logloss, abs=1e-12)
+
+
+def test_a_batch_of_cells_is_worked_out_once(spark, tmp_path, monkeypatch):
+    """The passes of the metrics over a batch read what was stored of it instead of writing the state again."""
+    path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    spark.range(200).select((F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 20 / 20).alias("p")).write.parquet(path)
+    files = []
+    monkeypatch.setattr(jobs, "cell_metrics", lambda cells: files.extend(cells.inputFiles()) or metrics.cell_metrics(cells))
+    jobs.running_metric_stream(jobs.file_stream(spark, path, "y int, p double", None), "y", "p", out, ckpt).awaitTermination()
+    assert [r.n for r in spark.read.parquet(out).collect()] == [200]
+    assert files and not any(f.startswith(f"file://{path}") for f in files)
+
+
+def test_parts_arrive_as_many_files(spark, tmp_path, monkeypatch):
+    """The stream of documents is staged by all tasks of the scan, in two batches, and no row without an id is lost."""
+    from adloom.suite import edges
+    from adloom.suite.common import QUERIES
+
+    key = F.when(F.col("id") % 9 != 0, F.col("id"))
+    docs = spark.range(0, 160, 1, 8).select(key.alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.col("id") % 5).alias("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stream, files = jobs.file_stream, []
+
+    def watched(spark, path, *rest):
+        files.append(len(spark.read.parquet(path).inputFiles()))
+        return stream(spark, path, *rest)
+
+    monkeypatch.setattr(edges.jobs, "file_stream", watched)
+    assert QUERIES["str_transform_sequence"](spark, str(tmp_path)).count() == 160
+    assert files[-1] >= 8
