@@ -119,11 +119,13 @@ def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     spec = [{"name": "text", "type": "sequence", "dtype": "str", "splitter": " ", "max_len": 20, "padding": "post"}]
     fitted = plan.fit(docs, spec, [])
-    path, out = scratch_path(spark, "arriving"), scratch_path(spark, "encoded")
-    docs.repartitionByRange(2, "doc_id").write.parquet(path)
+    path, out, ckpt = (scratch_path(spark, n) for n in ("arriving", "encoded", "ckpt"))
     limit, enc.INLINE_TOKENS = enc.INLINE_TOKENS, 10
     try:
-        _run(jobs.transform_stream(jobs.file_stream(spark, path, docs.schema, 1), fitted, out, scratch_path(spark, "ckpt"), ["doc_id"]))
+        # The documents arrive in two parts, each a batch of as many files as the scan has tasks.
+        for k in range(2):
+            docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == k).write.mode("append").parquet(path)
+            _run(jobs.transform_stream(jobs.file_stream(spark, path, docs.schema, None), fitted, out, ckpt, ["doc_id"]))
     finally:
         enc.INLINE_TOKENS = limit
     return spark.read.parquet(out).select("doc_id", joined_ids("text").alias("ids"))
