@@ -84,7 +84,10 @@ def score_external(df: DataFrame, predict: Callable[[pd.DataFrame], pd.Series],
 
 
 def evaluate_model(model: Model, df: DataFrame, metrics: Sequence[str], label: str, group: str | None = None, tie: str | None = None) -> DataFrame:
-    return evaluate(score(model, df), metrics, label, "score", group, tie)
+    # The metrics take many passes: score the rows once and keep what the metrics read.
+    names = dict.fromkeys(c for c in (label, group, tie) if c is not None)
+    scored = materialize(score(model, df).select(*names, "score"), "scored")
+    return evaluate(scored, metrics, label, "score", group, tie)
 
 
 def grid_search(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, grid: Mapping[str, Sequence[Any]], train_ratio: float = 0.8, seed: int = 42, parallelism: int = 2) -> TrainValidationSplitModel:
