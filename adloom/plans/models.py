@@ -53,7 +53,10 @@ def feature_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list[E
 def fit_model(df: DataFrame, kind: str, categorical: Sequence[str], numeric: Sequence[str], label: str, **params: Any) -> PipelineModel:
     """Fit on encoded columns. For 'mlp', ``hidden`` lists the inner layer widths."""
     stages = feature_stages(categorical, numeric)
-    data = df.withColumn(label, F.col(label).cast("double"))
+    # Every iteration is as long as its largest part: the rows are dealt out evenly, over all cores at least.
+    parts = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+    inputs = [c for c in dict.fromkeys([*categorical, *numeric]) if c != label]
+    data = df.select(*inputs, F.col(label).cast("double").alias(label)).repartition(parts)
     if kind == "mlp":
         front = Pipeline(stages=stages).fit(data)
         width = front.transform(data).select("features").first()[0].size
