@@ -88,6 +88,9 @@ def encode_columns(df: DataFrame, lookups: Sequence[Lookup], vocab: DataFrame, i
     if small:
         # Whole sequences move once; exploding, looking up and collecting then stay in place.
         narrow = narrow.repartition(id_col)
+    elif id_col != "_rid":
+        # The join takes three passes: the texts are split once and only what is looked up is kept.
+        narrow = materialize(narrow, "narrow")
     parts = narrow.select(F.col(id_col).alias("_id"), F.inline(F.concat(*[cells(n, x) for n, x in enumerate(lookups)])))
     owner = F.create_map(*[F.lit(v) for pair in place.items() for v in pair])[F.col("feature")]
     entries = vocab.where(F.col("feature").isin(*place)).select(owner.alias("owner"), "token", "idx")
