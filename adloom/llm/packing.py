@@ -19,9 +19,11 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +49,12 @@ REOPENED = 0.05
 REOPENED_LEAST = 8
 # Pieces of text and pair verdicts that a worker remembers; beyond them it starts anew, with the same results.
 MEMORY = 300_000
+# Symbols of a word up to which it is merged at once, in so many steps at most.
+SHORT = 32
 
-SEPARATORS = re.compile("[\x1c-\x1f]")
-ANY_SPACE = regex.compile(f"[{bpe.SPACE}]+")
+# Words of stretches that are each followed by a line feed, and the line feeds.
+ASCII_LINES = re.compile(rf"\n|[a-z]+|{bpe.ASCII_WORDS.pattern}")
+ANY_LINES = regex.compile(rf"\n|{bpe.ANY_WORDS.pattern}")
 
 
 class Proposer:
@@ -98,82 +103,180 @@ class Proposer:
         return np.concatenate(ids or empty)[order], owner[order]
 
 
+class Merger:
+    """Exact merging of many short words side by side. Words of equal length form a table; every step merges one pair in each of its
+    rows, so that the rows stay equally long, and takes out the rows that are done."""
+
+    def __init__(self, vocab: bpe.Vocabulary) -> None:
+        self.vocab = vocab
+        ranks = vocab.ranks[:-1]
+        self.product = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        self.product[ranks] = vocab.products[:-1]
+        # Ranks of all pairs of symbols, with which every word begins.
+        self.first = vocab.rank(np.repeat(vocab.single, 512), np.tile(vocab.single, 512))[0]
+
+    def merge(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words whose symbols lie one after another in ``flat``, likewise, and how many each word has."""
+        counts, tables = np.zeros(len(sizes), np.int64), []
+        starts = np.cumsum(sizes) - sizes
+        for n in np.unique(sizes).tolist():
+            words = np.flatnonzero(sizes == n)
+            for done, ids in self.table(flat[starts[words][:, None] + np.arange(n)]):
+                counts[words[done]] = ids.shape[1]
+                tables.append((words[done], ids))
+        out, starts = np.zeros(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+        for words, ids in tables:
+            out[starts[words][:, None] + np.arange(ids.shape[1])] = ids
+        return out, counts
+
+    def table(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, ids of these rows), as they are done."""
+        rows, parts = np.arange(len(symbols)), self.vocab.single[symbols]
+        ranks = self.first[symbols[:, :-1] * 512 + symbols[:, 1:]]
+        while ranks.size:
+            at = ranks.argmin(axis=1)  # The leftmost of equals.
+            least = ranks[np.arange(len(at)), at]
+            live = least != bpe.UNRANKED
+            if not live.all():
+                yield rows[~live], parts[~live]
+                rows, parts, ranks, at, least = (x[live] for x in (rows, parts, ranks, at, least))
+            each, width = np.arange(len(rows)), ranks.shape[1]
+            parts[each, at] = self.product[least]
+            parts = parts[np.arange(width + 1) != at[:, None] + 1].reshape(len(rows), width)
+            ranks = ranks[np.arange(width) != at[:, None]].reshape(len(rows), width - 1)
+            for changed, p in ((at > 0, at - 1), (at < width - 1, at)):
+                r, q = each[changed], p[changed]
+                ranks[r, q] = self.vocab.rank(parts[r, q], parts[r, q + 1])[0]
+        if len(rows):
+            yield rows, parts
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of many stretches, each from its start on, one stretch after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (ends - sizes), sizes)
+
+
+class Numbered:
+    """Texts by the numbers of the different ones: Python sees only these, what they are worth is gathered by number."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        coded = texts.dictionary_encode()
+        self.kinds = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.numbers = coded.indices.to_numpy()
+
+    def gather(self, coded: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """The bytes of all texts, from those of each kind, and where each text's begin, with the end of the last."""
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        own = sizes[self.numbers]
+        ids = np.frombuffer(b"".join(coded), "<u4")[spread((np.cumsum(sizes) - sizes)[self.numbers], own)]
+        return ids.tobytes(), 4 * np.r_[0, np.cumsum(own)]
+
+
 class Coder:
-    """Token ids as little-endian bytes, with a memory of the stretches between white space.
+    """Token ids as little-endian bytes, with a memory of words and of the stretches between white space.
 
-    New words are proposed together, all adjacent pairs are looked up together, and words with a failing pair are merged exactly.
+    A slice of texts is cut into stretches in Arrow. New short words are merged side by side. Long ones are proposed together first,
+    all adjacent pairs are looked up together, and words with a failing pair are merged exactly.
     """
 
     def __init__(self, vocab: bpe.Vocabulary) -> None:
-        self.vocab, self.proposer = vocab, Proposer(vocab)
+        self.vocab, self.merger = vocab, Merger(vocab)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.plain = all(s.startswith("<|") for s in vocab.special)
 
-    def stretches(self, text: str) -> list[str]:
-        """What lies between white space, normalised; words never reach across it."""
+    @cached_property
+    def proposer(self) -> Proposer:
+        return Proposer(self.vocab)
+
+    def lines(self, text: str) -> Iterator[tuple[str, bytes]]:
+        """What lies between special tokens, normalised, and the id of the special token behind it."""
+        at = 0
         if "<|" in text or not self.plain:
-            return self.vocab.words_of(text)
-        if text.isascii():
-            text = text.lower()
-        else:
-            text = unicodedata.normalize("NFC", text)
-            # Letter by letter: the rule for a sigma at the end of a word does not apply.
-            text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-        return ANY_SPACE.split(text) if SEPARATORS.search(text) else text.split()
+            for m in self.vocab.split.finditer(text):
+                yield normal(text[at : m.start()]), self.vocab.bytes[self.vocab.special[m.group()]]
+                at = m.end()
+        yield normal(text[at:]), b""
 
     def words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words."""
-        if not words:
-            return {}
+        raw = [w.encode() for w in words]
+        short = [k for k, w in enumerate(raw) if len(w) <= SHORT]
+        long = [k for k, w in enumerate(raw) if len(w) > SHORT]
+        out = {}
+        for some, fn in ((short, self.merger.merge), (long, self.proposed)):
+            if some:
+                sizes = np.fromiter((len(raw[k]) for k in some), np.int64, len(some))
+                flat = np.frombuffer(b"".join([raw[k] for k in some]), np.uint8).astype(np.int64)
+                if self.vocab.suffix:
+                    flat[np.cumsum(sizes) - 1] += 256
+                ids, counts = fn(flat, sizes)
+                coded, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                out.update({words[k]: coded[i:j] for k, i, j in zip(some, [0, *ends], ends, strict=False)})
+        return out
+
+    def proposed(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of long words, and how many each word has."""
         if len(self.vocab.verdicts) > MEMORY:
             self.vocab.verdicts.clear()
-        raw = [w.encode() for w in words]
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
-        if self.vocab.suffix:
-            flat[np.cumsum(sizes) - 1] += 256
         ids, owner = self.proposer.propose(flat, sizes)
         inner = owner[1:] == owner[:-1]
         kinds, back = np.unique((ids[:-1] * self.vocab.width + ids[1:])[inner], return_inverse=True)
         failed = np.unique(owner[1:][inner][~self.vocab.compatible(kinds.tolist())[back]])
-        ends = (4 * np.searchsorted(owner, np.arange(len(raw)), "right")).tolist()
-        coded = ids.astype("<u4").tobytes()
-        out = {w: coded[i:j] for w, i, j in zip(words, [0, *ends], ends, strict=False)}
         forms = ["".join(map(chr, flat[j - n : j])) for j, n in zip(np.cumsum(sizes)[failed], sizes[failed], strict=True)]
+        coded = np.split(ids, np.searchsorted(owner, np.arange(1, len(sizes))))
         for k, exact in zip(failed.tolist(), self.vocab.merge(forms), strict=True):
-            out[words[k]] = np.array(exact, "<u4").tobytes()
-        return out
-
-    def learn(self, stretches: set[str]) -> None:
+            coded[k] = np.array(exact, np.int64)
+        return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
+
+    def cut(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of stretches, from those of their words, which are remembered too."""
+        ascii, others = ([s for s in stretches if s.isascii() == is_ascii] for is_ascii in (True, False))
+        found = [w for pattern, some in ((ASCII_LINES, ascii), (ANY_LINES, others)) for w in pattern.findall("".join([s + "\n" for s in some]))]
+        words = Numbered(pa.array(found, pa.large_string()))
+        self.known.update(self.words([w for w in words.kinds if w not in self.known and w != "\n"]))
+        coded, starts = words.gather([self.known[w] if w != "\n" else b"" for w in words.kinds])
+        ends = starts[1:][words.numbers == words.kinds.index("\n")].tolist() if found else []
+        return {s: coded[i:j] for s, i, j in zip([*ascii, *others], [0, *ends], ends, strict=False)}
+
+    def learn(self, stretches: list[str]) -> list[bytes]:
+        """Ids of stretches, all different."""
         if len(self.known) > MEMORY:
             self.known, self.before = {}, self.known
+        out = list(map(self.known.get, stretches))
         new = []
-        for s in stretches:
-            if s not in self.known:
-                old = self.before.get(s)
-                if old is None:
-                    new.append(s)
-                else:
-                    self.known[s] = old
-        special = [s for s in new if isinstance(s, bpe.Special)]
-        self.known.update((s, self.vocab.bytes[self.vocab.special[str(s)]]) for s in special)
-        whole = {s for s in new if s.isascii() and s.isalpha() and not isinstance(s, bpe.Special)}
-        cut = {s: (bpe.ASCII_WORDS if s.isascii() else bpe.ANY_WORDS).findall(s) for s in new if s not in whole and not isinstance(s, bpe.Special)}
-        parts = {w for c in cut.values() for w in c} - whole
-        parts -= self.known.keys()
-        coded = self.words([*whole, *parts])
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            s = stretches[k]
+            if (old := self.before.get(s)) is None:
+                new.append(k)
+            else:
+                out[k] = self.known[s] = old
+        coded = self.cut([stretches[k] for k in new])
+        for k in new:
+            out[k] = coded[stretches[k]]
         self.known.update(coded)
-        known = self.known
-        for s, c in cut.items():
-            if len(c) != 1 or c[0] != s:
-                known[s] = b"".join([known[w] for w in c])
+        return out
 
     def code(self, texts: list[str]) -> list[bytes]:
-        cut = [self.stretches(t) for t in texts]
-        self.learn(set().union(*cut))
-        known = self.known
-        return [b"".join([known[s] for s in c]) for c in cut]
+        lines = [(doc, *line) for doc, text in enumerate(texts) for line in self.lines(text)]
+        # Words never reach across white space. What is not ASCII of it stays in a stretch and is left out where that is cut.
+        cut = pc.ascii_split_whitespace(pa.array([line for _, line, _ in lines], pa.large_string()))
+        stretches = Numbered(cut.flatten())
+        coded, starts = stretches.gather(self.learn(stretches.kinds))
+        ends = starts[cut.offsets.to_numpy()].tolist()
+        out: list[list[bytes]] = [[] for _ in texts]
+        for (doc, _, special), i, j in zip(lines, ends, ends[1:], strict=False):
+            out[doc] += coded[i:j], special
+        return [b"".join(parts) for parts in out]
+
+
+def normal(text: str) -> str:
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    # Letter by letter: the rule for a sigma at the end of a word does not apply.
+    return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
 
 _CODERS: dict[int, Coder] = {}
